@@ -14,12 +14,29 @@ def engagement_score(upvotes: Column) -> Column:
     return upvotes * F.lit(fv.UPVOTE_WEIGHT)
 
 
+def _grown(logits: Column) -> Column:
+    """exp(z - max) of every logit.
+
+    The maximum is paired with the elements; inside the lambda it would be found anew for each.
+    """
+    peak = F.array_repeat(F.array_max(logits), F.size(logits))
+    return F.zip_with(logits, peak, lambda z, p: F.exp(z.cast("double") - p.cast("double")))
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
+
+
 def softmax(logits: Column) -> Column:
-    """Class probabilities of an array of logits, shifted by the maximum for stability."""
-    peak = F.array_max(logits)
-    grown = F.transform(logits, lambda z: F.exp(z.cast("double") - peak.cast("double")))
-    total = F.aggregate(grown, F.lit(0.0), lambda acc, e: acc + e)
-    return F.transform(grown, lambda e: e / total)
+    """Class probabilities of an array of logits."""
+    grown = _grown(logits)
+    total = F.array_repeat(_total(grown), F.size(logits))
+    return F.zip_with(grown, total, lambda e, t: e / t)
+
+
+def winning_probability(logits: Column) -> Column:
+    """The largest class probability."""
+    return F.lit(1.0) / _total(_grown(logits))
 
 
 def winning_class(logits: Column, labels: Sequence[str]) -> Column:

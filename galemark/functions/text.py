@@ -4,11 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from string import ascii_letters, digits
 
 from pyspark.sql import Column, functions as F
 
-# Unicode-aware, so that whitespace means what it means in the producers' language.
-_SPACE = r"(?U)\s"
+# The characters that count as whitespace (Unicode), narrow (Latin-1) and wide ones.
+_NARROW = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+_WIDE = (
+    "               "
+    " 　"
+)
+
+
+def _escaped(chars: str) -> str:
+    return "".join(rf"\u{ord(c):04x}" for c in chars)
+
+
+_BLANK = f"[{_escaped(_NARROW + _WIDE)}]"
+_NOT_BLANK = f"[^{_escaped(_NARROW + _WIDE)}]"
+# Latin-1 characters listed one by one become a bit set in the regex engine; the wide blanks are
+# looked at only for the few characters outside it.  Several times faster than one class of all.
+_KEPT = _escaped(ascii_letters + digits + _NARROW)
+_DROPPED = f"(?:[^{_KEPT}](?<![{_escaped(_WIDE)}]))+"
 
 
 def normalize_text(text: Column) -> Column:
@@ -17,9 +34,9 @@ def normalize_text(text: Column) -> Column:
     Links are the runs that begin with http or www (case-sensitive, also inside a word).  Inner
     whitespace is kept as it is.
     """
-    unlinked = F.regexp_replace(text, r"(?U)(?:http|www)\S+", "")
-    plain = F.lower(F.regexp_replace(unlinked, r"(?U)[^a-zA-Z0-9\s]", ""))
-    return F.coalesce(F.regexp_replace(plain, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    unlinked = F.regexp_replace(text, f"(?:http|www){_NOT_BLANK}+", "")
+    plain = F.lower(F.regexp_replace(unlinked, _DROPPED, ""))
+    return F.coalesce(F.btrim(plain, F.lit(_NARROW + _WIDE)), F.lit(""))
 
 
 def tidy(text: Column) -> Column:
@@ -48,17 +65,18 @@ def mentions_any(texts: Sequence[Column], words: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def terms_in(text: Column, terms: Sequence[str]) -> Column:
-    """The `terms` found in `text` (ignoring case), in the order of `terms`; null gives []."""
-    # One test per term, not a lambda over the list: a lambda would normalize the text per term.
-    lowered = F.lower(text)
-    found = [F.when(lowered.contains(t.lower()), F.lit(t)) for t in terms]
-    return F.array_compact(F.array(*found))
+def terms_in(lowered: Column, terms: Sequence[str]) -> Column:
+    """The `terms` found in lower-case text (ignoring their case), in order; null gives [].
+
+    One test per term, which stays in generated code; a lambda over the list would not.
+    """
+    hits = [F.when(lowered.contains(t.lower()), F.lit(t)).otherwise(F.lit("")) for t in terms]
+    return F.array_remove(F.array(*hits), "")
 
 
 def hashtags(text: Column) -> Column:
     """Whitespace-separated tokens that begin with '#', in order, repeats kept; null gives []."""
-    tokens = F.split(F.coalesce(text, F.lit("")), _SPACE + "+")
+    tokens = F.split(F.coalesce(text, F.lit("")), _BLANK + "+")
     return F.filter(tokens, lambda token: token.startswith("#"))
 
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from galemark.functions.social import softmax, winning_class
+from galemark.functions.social import winning_class, winning_probability
 from galemark.functions.text import normalize_text
 
 
@@ -16,7 +16,7 @@ def decide(scored: DataFrame, labels: Sequence[str], logits: str = "logits") ->
     """Add sentiment_label and sentiment_score (the winning probability) from class logits."""
     return scored.withColumns({
         "sentiment_label": winning_class(F.col(logits), labels),
-        "sentiment_score": F.array_max(softmax(F.col(logits))),
+        "sentiment_score": winning_probability(F.col(logits)),
     })
 
 

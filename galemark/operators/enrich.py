@@ -71,12 +71,17 @@ def tag_posts(
     places: Sequence[str] = fv.PLACES,
     columns: Sequence[str] = ("title_normalized", "body_normalized"),
 ) -> DataFrame:
-    """Add `keywords` and `regions_detected`: the terms and places named in the text (ours)."""
-    said = F.concat_ws(" ", *columns)
-    return posts.withColumns({
-        "keywords": text.terms_in(said, keywords),
-        "regions_detected": text.terms_in(said, places),
-    })
+    """Add `keywords` and `regions_detected`: the terms and places named in the text (ours).
+
+    A generator computes them, so they are found once per post and not again in every filter on them.
+    """
+    said = F.col("_said")
+    tags = F.struct(
+        text.terms_in(said, keywords).alias("keywords"),
+        text.terms_in(said, places).alias("regions_detected"),
+    )
+    lowered = posts.withColumn("_said", F.lower(F.concat_ws(" ", *columns)))
+    return lowered.select(*posts.columns, F.inline(F.array(tags)))
 
 
 def weather_output(enriched: DataFrame) -> DataFrame:

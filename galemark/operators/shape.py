@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from galemark import fixed_values as fv
 from galemark.functions import geo, text
+from galemark.functions.jsons import expand
 
 
-def decode(df: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """JSON text or bytes in `column` as columns of `schema`."""
-    body = F.from_json(F.col(column).cast("string"), schema)
-    return df.select(body.alias("body")).select("body.*")
+def decode(messages: DataFrame, schema: str) -> DataFrame:
+    """Messages with JSON in `value` as columns of `schema`."""
+    return expand(messages, "value", schema)
 
 
 def flatten_sensors(locations: DataFrame) -> DataFrame:

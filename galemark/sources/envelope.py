@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from galemark import fixed_values as fv, schemas
+from galemark.functions.jsons import expand
 
 CORRUPT = "_corrupt_record"
 
@@ -103,17 +104,12 @@ def parse(
     value is JSON and has an event time, and `reject_reason` says what is missing.
     """
     wanted = f"{schema}, {CORRUPT} string" if strict else schema
-    body = F.from_json(F.col("value").cast("string"), wanted)
-    typed = (
-        demux(envelope, topic)
-        .select(body.alias("data"), F.col("timestamp").alias("kafka_timestamp"))
-        .select("data.*", "kafka_timestamp")
-        .withColumns({
-            "event_time": event_time(),
-            "source_topic": F.lit(topic),
-            "ingestion_time": F.current_timestamp(),
-        })
-    )
+    broker_time = F.col("timestamp").alias("kafka_timestamp")
+    typed = expand(demux(envelope, topic), "value", wanted, broker_time).withColumns({
+        "event_time": event_time(),
+        "source_topic": F.lit(topic),
+        "ingestion_time": F.current_timestamp(),
+    })
     if strict:
         reason = (
             F.when(F.col(CORRUPT).isNotNull(), "not json")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from galemark import fixed_values as fv, schemas
+from galemark.functions.jsons import expand
 
 
 def read_logs(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -20,7 +21,7 @@ def scan_logs(
     text: str = "value",
 ) -> DataFrame:
     """Records of `components` (all of them for None) with their time in `ts`."""
-    rows = lines.select(F.from_json(F.col(text), schemas.LOG).alias("r")).select("r.*")
+    rows = expand(lines, text, schemas.LOG)
     if components is not None:
         rows = rows.filter(F.col("component").isin(*components))
     return rows.withColumn("ts", F.try_to_timestamp(F.col("ts_utc")))
