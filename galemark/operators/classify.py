@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from galemark.functions.social import winning_class, winning_probability
 from galemark.functions.text import normalize_text
@@ -31,7 +31,7 @@ def score_text(
     `load_model` runs once per task and returns a function from a list of texts to their logits;
     cutting the text to the model's length is the model's business.
     """
-    schema = StructType(df.schema.fields).add("logits", "array<double>")
+    schema = StructType([*df.schema.fields, StructField("logits", ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = None
