@@ -41,3 +41,13 @@ def rolling_pearson(x: Column, y: Column, over: WindowSpec) -> Column:
 def newest_rows(key: str, time: str, rows: int) -> WindowSpec:
     """Frame of the current and the preceding `rows` - 1 rows of a key by time."""
     return Window.partitionBy(key).orderBy(time).rowsBetween(1 - rows, 0)
+
+
+def slice_of(*key: str) -> Column:
+    """A small number derived from a key, as one more grouping column.
+
+    A side grouped by its key alone is already partitioned for a join on that key, and Spark then
+    cannot split a hot key of the other side.  Grouped by the key and its slice, which gives the same
+    groups, both sides of the join are exchanged and the adaptive skew join applies.
+    """
+    return F.pmod(F.xxhash64(*key), F.lit(64)).alias("_slice")

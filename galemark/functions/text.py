@@ -4,39 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from string import ascii_letters, digits
 
 from pyspark.sql import Column, functions as F
 
-# The characters that count as whitespace (Unicode), narrow (Latin-1) and wide ones.
-_NARROW = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
-_WIDE = (
-    "               "
-    " 　"
+# Whitespace is what Unicode calls so and the four ASCII separators.
+_BLANK = r"\s\x1c-\x1f"
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        "
+    "        　"
 )
 
 
-def _escaped(chars: str) -> str:
-    return "".join(rf"\u{ord(c):04x}" for c in chars)
-
-
-_BLANK = f"[{_escaped(_NARROW + _WIDE)}]"
-_NOT_BLANK = f"[^{_escaped(_NARROW + _WIDE)}]"
-# Latin-1 characters listed one by one become a bit set in the regex engine; the wide blanks are
-# looked at only for the few characters outside it.  Several times faster than one class of all.
-_KEPT = _escaped(ascii_letters + digits + _NARROW)
-_DROPPED = f"(?:[^{_KEPT}](?<![{_escaped(_WIDE)}]))+"
-
-
 def normalize_text(text: Column) -> Column:
     """Lower-case ASCII letters, digits and whitespace of `text`, without links; null gives ''.
 
     Links are the runs that begin with http or www (case-sensitive, also inside a word).  Inner
     whitespace is kept as it is.
     """
-    unlinked = F.regexp_replace(text, f"(?:http|www){_NOT_BLANK}+", "")
-    plain = F.lower(F.regexp_replace(unlinked, _DROPPED, ""))
-    return F.coalesce(F.btrim(plain, F.lit(_NARROW + _WIDE)), F.lit(""))
+    unlinked = F.regexp_replace(text, f"(?U)(?:http|www)[^{_BLANK}]+", "")
+    plain = F.lower(F.regexp_replace(unlinked, f"(?U)[^a-zA-Z0-9{_BLANK}]+", ""))
+    return F.coalesce(F.btrim(plain, F.lit(_BLANKS)), F.lit(""))
 
 
 def tidy(text: Column) -> Column:
@@ -76,7 +63,7 @@ def terms_in(lowered: Column, terms: Sequence[str]) -> Column:
 
 def hashtags(text: Column) -> Column:
     """Whitespace-separated tokens that begin with '#', in order, repeats kept; null gives []."""
-    tokens = F.split(F.coalesce(text, F.lit("")), _BLANK + "+")
+    tokens = F.split(F.coalesce(text, F.lit("")), f"(?U)[{_BLANK}]+")
     return F.filter(tokens, lambda token: token.startswith("#"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from galemark.functions.social import winning_class, winning_probability
 from galemark.functions.text import normalize_text
+from galemark.operators.windows import one_per_key
 
 
 def decide(scored: DataFrame, labels: Sequence[str], logits: str = "logits") -> DataFrame:
@@ -54,7 +55,7 @@ def training_set(
     many copies costs no more than the others.
     """
     clean = normalize_text(F.col(text))
-    labelled = posts.select(key, clean.alias("text")).join(labels, key)
+    labelled = posts.select(key, clean.alias("text")).join(one_per_key(labels, key), key)
     rest = [c for c in labels.columns if c != key]
     kept = labelled.groupBy(
         F.sha2("text", 256).alias("digest"), F.length("text").alias("size")

@@ -79,14 +79,18 @@ def rolling_correlation(daily: DataFrame, rows: int = 7) -> DataFrame:
     Over the newest `rows` days up to each date.  A city has one row per day, so its window is
     bounded by the number of days.  Adds the band of each correlation.
     """
+    return _with_correlations(daily, rows).select(
+        "date", "city", "weather_corr", "pollution_corr", "weather_band", "pollution_band"
+    )
+
+
+def _with_correlations(daily: DataFrame, rows: int) -> DataFrame:
     over = newest_rows("city", "date", rows)
     mood = F.col("avg_sentiment_confidence")
-    rolled = daily.select(
-        "date", "city",
-        rolling_pearson(mood, F.col("avg_temperature"), over).alias("weather_corr"),
-        rolling_pearson(mood, F.col("avg_aqi_score"), over).alias("pollution_corr"),
-    )
-    return rolled.withColumns({
+    return daily.withColumns({
+        "weather_corr": rolling_pearson(mood, F.col("avg_temperature"), over),
+        "pollution_corr": rolling_pearson(mood, F.col("avg_aqi_score"), over),
+    }).withColumns({
         "weather_band": _strength(F.col("weather_corr")),
         "pollution_band": _strength(F.col("pollution_corr")),
     })
@@ -103,14 +107,15 @@ def _strength(r: Column) -> Column:
 
 def correlation_counters(daily: DataFrame, rows: int = 7) -> DataFrame:
     """Daily rows with their counters of strong correlations (1 or 0)."""
-    flags = rolling_correlation(daily, rows).select(
-        "date", "city",
-        F.coalesce((F.col("weather_band") == "strong").cast("bigint"), F.lit(0))
-        .alias("strong_sentiment_weather_correlation"),
-        F.coalesce((F.col("pollution_band") == "strong").cast("bigint"), F.lit(0))
-        .alias("strong_sentiment_pollution_correlation"),
+    zero = F.lit(0).cast("bigint")
+
+    def strong(of: str) -> Column:
+        return F.coalesce((F.col(f"{of}_band") == "strong").cast("bigint"), zero)
+
+    return _with_correlations(daily, rows).select(
+        *daily.columns,
+        *(strong(of).alias(f"strong_sentiment_{of}_correlation") for of in ("weather", "pollution")),
     )
-    return daily.join(flags, ["date", "city"], "left")
 
 
 def correlation_metrics(counted: DataFrame, days: int = 30, city: str | None = fv.CITY) -> DataFrame:

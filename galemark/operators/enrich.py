@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from galemark import fixed_values as fv
 from galemark.functions import air, social, text, weather
+from galemark.operators.windows import one_per_key
 
 
 def enrich_weather(clean: DataFrame) -> DataFrame:
@@ -122,7 +123,8 @@ def sentiment_output(sentiment: DataFrame, posts: DataFrame | None = None) -> Da
     if posts is None:
         rows = sentiment.withColumn("engagement_score", F.lit(0.0))
     else:
-        votes = posts.select("post_id", social.engagement_score(F.col("upvotes")).alias("engagement_score"))
+        engagement = social.engagement_score(F.col("upvotes")).alias("engagement_score")
+        votes = one_per_key(posts.select("post_id", engagement), "post_id")
         rows = sentiment.join(votes, "post_id", "left")
     return rows.select(
         "post_id", "event_time_utc", "sentiment_label",

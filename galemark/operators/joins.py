@@ -1,14 +1,16 @@
 """Joins of readings with their weekly means, posts with scores and comments with posts.
 
-No join carries a broadcast hint: Spark broadcasts a side it measures as small, and splits the hot
-keys of a shuffled join otherwise (adaptive skew join).
+The looked-up side is brought down to one row per key first, so no join pairs copies with copies.  No
+join carries a broadcast hint: Spark broadcasts a side it measures as small, and splits the hot keys
+of the other side otherwise (adaptive skew join).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from galemark.operators.windows import latest_per_key
+from galemark.functions.stats import slice_of
+from galemark.operators.windows import latest_per_key, one_per_key
 
 _METRICS = ("location", "window_ts", "temperature", "humidity", "precipitation")
 
@@ -26,9 +28,9 @@ def with_latest_means(readings: DataFrame, means: DataFrame) -> DataFrame:
     Joining on the location alone would pair a reading with every window of its location, of which
     the keyed table keeps one; this goes straight to one row per reading.
     """
-    newest = means.groupBy("loc").agg(
+    newest = means.groupBy("loc", slice_of("loc")).agg(
         F.max_by(F.struct("temp_7d_avg", "humidity_7d_avg"), F.col("window.start")).alias("m")
-    )
+    ).drop("_slice")
     left = _readings(readings)
     return left.join(newest, F.col("location") == F.col("loc"), "left").select(
         *_METRICS, "m.temp_7d_avg", "m.humidity_7d_avg",
@@ -56,7 +58,7 @@ def climate_metrics(readings: DataFrame, means: DataFrame) -> DataFrame:
 def posts_with_sentiment(posts: DataFrame, sentiment: DataFrame) -> DataFrame:
     """Every post with its score, if any."""
     scores = sentiment.select("post_id", "sentiment_label", "sentiment_score")
-    return posts.join(scores, "post_id", "left")
+    return posts.join(one_per_key(scores, "post_id"), "post_id", "left")
 
 
 def comment_thread(comments: DataFrame, posts: DataFrame) -> DataFrame:
@@ -66,7 +68,7 @@ def comment_thread(comments: DataFrame, posts: DataFrame) -> DataFrame:
         F.col("title").alias("post_title"),
         F.col("author").alias("post_author"),
     )
-    return comments.join(parents, "post_id")
+    return comments.join(one_per_key(parents, "post_id"), "post_id")
 
 
 def orphan_comments(comments: DataFrame, posts: DataFrame) -> DataFrame:

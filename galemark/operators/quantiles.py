@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from galemark.functions.stats import ratio
+from galemark.functions.stats import ratio, slice_of
 
 # Quantiles of the daily summary.
 QUANTILES = {"q02": 0.02, "q25": 0.25, "median": 0.5, "q75": 0.75, "q98": 0.98}
@@ -32,40 +32,55 @@ def sensor_daily_summary(
         sensor, F.to_date(time).alias("date"), F.col(value).alias("value")
     ).filter(F.col("value").isNotNull() & F.col("date").isNotNull())
     keys = [sensor, "date"]
-    figures = days.groupBy(*keys).agg(
+    observed = F.col("observed_count")
+    return quantiles_per_group(
+        days, keys, "value", QUANTILES, group_limit,
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.avg("value").alias("avg"),
         F.when(F.count("*") > 1, F.stddev_samp("value")).alias("sd"),
         F.count("*").alias("observed_count"),
-    )
-    quantiles = exact_quantiles(days, keys, "value", QUANTILES, group_limit)
-    observed = F.col("observed_count")
-    return figures.join(quantiles, keys).select(
+    ).select(
         *keys, "min", *QUANTILES, "max", "avg", "sd",
         F.lit(expected).cast("bigint").alias("expected_count"), "observed_count",
         (ratio(observed, F.lit(expected)) * 100).alias("percent_complete"),
     )
 
 
-def exact_quantiles(
+def quantiles_per_group(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     quantiles: Mapping[str, float],
     group_limit: int = GROUP_LIMIT,
+    *figures: Column,
 ) -> DataFrame:
-    """Interpolated quantiles per group, exact for groups of any size.
+    """Interpolated quantiles per group, exact for groups of any size, and further `figures`.
 
     Groups up to `group_limit` rows use the built-in exact aggregate, which holds a group's values
-    in one task.  Larger groups are never gathered: see `_large_groups`.
+    in one task.  Larger groups are never gathered: see `_large_groups`.  A count of the groups, run
+    here and now, tells whether there are any; without them one grouping is all there is to do.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    keys = list(keys)
+    sizes = df.groupBy(*keys, slice_of(*keys)).agg(F.count("*").alias("n")).drop("_slice")
     large = sizes.filter(F.col("n") > group_limit)
-    small = df.join(large, list(keys), "left_anti").groupBy(*keys).agg(
-        *(F.percentile(value, F.lit(q)).alias(name) for name, q in quantiles.items())
+
+    def grouped(rows: DataFrame, values: Column) -> DataFrame:
+        # All quantiles in one aggregate share one buffer.
+        shares = F.array(*(F.lit(q) for q in quantiles.values()))
+        found = rows.groupBy(*keys).agg(*figures, F.percentile(values, shares).alias("_found"))
+        named = (F.col("_found")[i].alias(name) for i, name in enumerate(quantiles))
+        return found.select("*", *named).drop("_found")
+
+    if large.isEmpty():
+        return grouped(df, F.col(value))
+    small_only = F.when(F.col("n").isNull(), F.col(value))
+    all_groups = grouped(df.join(large, keys, "left"), small_only).alias("a")
+    narrowed = _large_groups(df, large, keys, value, quantiles).alias("b")
+    others = [c for c in all_groups.columns if c not in quantiles and c not in keys]
+    return all_groups.join(narrowed, keys, "left").select(
+        *keys, *others, *(F.coalesce(f"a.{n}", f"b.{n}").alias(n) for n in quantiles)
     )
-    return small.unionByName(_large_groups(df, large, list(keys), value, quantiles))
 
 
 def _large_groups(
@@ -87,7 +102,7 @@ def _large_groups(
     slack = 4.0 / accuracy
     names, shares = list(quantiles), list(quantiles.values())
     cuts = [c for q in shares for c in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    sketch = rows.groupBy(*keys).agg(
+    sketch = rows.groupBy(*keys, slice_of(*keys)).agg(
         F.first("n").alias("n"),
         F.percentile_approx(value, cuts, accuracy).alias("cuts"),
         F.min(value).alias("smallest"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from galemark import fixed_values as fv
 from galemark.functions import geo, text
 from galemark.functions.jsons import expand
+from galemark.operators.windows import one_per_key
 
 
 def decode(messages: DataFrame, schema: str) -> DataFrame:
@@ -77,16 +78,17 @@ def flatten_daily(responses: DataFrame, sensors: DataFrame) -> DataFrame:
     places = sensors.select(
         "sensor_id", "location_id", "location_name", "latitude", "longitude"
     )
-    return flat.join(places, "sensor_id").withColumn("ingested_at_utc", F.current_timestamp())
+    return flat.join(one_per_key(places, "sensor_id"), "sensor_id").withColumn("ingested_at_utc", F.current_timestamp())
 
 
 def enrich_sensor(measurements: DataFrame, sensors: DataFrame) -> DataFrame:
     """Attach the sensor's attributes to its measurements; unknown sensors drop out.
 
+    A sensor announced several times counts once.
     No join hint: the sensor list is broadcast where Spark measures it as small enough, and a hot
     sensor is split by the adaptive skew join otherwise.
     """
-    return measurements.join(sensors, "sensor_id")
+    return measurements.join(one_per_key(sensors, "sensor_id"), "sensor_id")
 
 
 def explode_measurements(messages: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from galemark.functions.stats import MICROS, from_micros, micros, ratio, seconds
+from galemark.functions.stats import MICROS, from_micros, micros, ratio, seconds, slice_of
 
 
 def sliding_means(
@@ -150,6 +150,16 @@ def latest_per_key(df: DataFrame, key: Sequence[str], newest: Sequence[str]) ->
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, the largest by its other columns, for use as the looked-up side of a join.
+
+    Copies of a key are dropped on the map side, so a join never pairs copies with copies.
+    """
+    rest = [c for c in df.columns if c != key]
+    kept = df.groupBy(key, slice_of(key)).agg(F.max(F.struct(*rest)).alias("kept"))
+    return kept.select(key, "kept.*")
+
+
 def upsert(current: DataFrame, updates: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """`current` with `updates` applied, one row per key, the newest version winning."""
     return latest_per_key(current.unionByName(updates), key, newest)

@@ -232,13 +232,17 @@ class Inputs:
         rows = enrich.enrich_air(clean.clean_air(self.air_parsed))
         return rows.withColumnRenamed("value_standard_unit", "value")
 
+    @cached_property
+    def untagged_posts(self) -> DataFrame:
+        """Stored posts; the source is the one the post names."""
+        social = self.social_parsed.withColumn("source_topic", F.col("source"))
+        clean_posts = clean.clean_social(social)
+        return clean_posts.withColumnsRenamed({"id": "post_id", "source_topic": "source"})
+
     @cached_property
     def posts(self) -> DataFrame:
-        """Stored posts with their keywords and places; the source is the one the post names."""
-        social = self.social_parsed
-        clean_posts = clean.clean_social(social.withColumn("source_topic", F.col("source")))
-        tagged = enrich.tag_posts(clean_posts, TERMS, REGIONS)
-        return tagged.withColumnsRenamed({"id": "post_id", "source_topic": "source"})
+        """Stored posts with their keywords and places."""
+        return enrich.tag_posts(self.untagged_posts, TERMS, REGIONS)
 
     @cached_property
     def votes(self) -> DataFrame:

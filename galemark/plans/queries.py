@@ -379,7 +379,7 @@ def table_counts(t: Inputs) -> DataFrame:
     return tables.table_counts(t.spark, {
         "weather_data": t.weather,
         "air_quality_data": t.air,
-        "social_posts": t.posts,
+        "social_posts": t.untagged_posts,
         "social_sentiment": t.sentiment,
         "daily_aggregates": tables.path_or_none(t.spark, f"{t.sf_dir}/daily_aggregates.parquet"),
     })
@@ -612,7 +612,8 @@ def search_region(t: Inputs) -> DataFrame:
 @register
 def recent_posts_sentiment(t: Inputs) -> DataFrame:
     scores = t.sentiment.select("post_id", "sentiment_label", "sentiment_confidence_pct")
-    scored = t.posts.select("post_id", "event_time_utc", "body_normalized", "source").join(scores, "post_id")
+    posts = t.untagged_posts.select("post_id", "event_time_utc", "body_normalized", "source")
+    scored = posts.join(scores, "post_id")
     return serve.recent_posts_with_sentiment(scored)
 
 

@@ -464,3 +464,49 @@ def test_reading_takes_one_window(spark):
     assert {r["temperature"]: r["temp_7d_avg"] for r in newest} == {1.0: 3.0, 3.0: 3.0, 5.0: None}
     # A replayed reading stays one row.
     assert joins.climate_metrics(parsed.union(parsed), means).count() == 3
+
+
+def test_copies_on_both_sides_do_not_multiply(spark):
+    comments = spark.createDataFrame([("c1", "p"), ("c1", "p"), ("c2", "q")], "id string, post_id string")
+    posts = spark.createDataFrame([("p", "t", "a"), ("p", "t", "a"), ("r", "x", None)], "id string, title string, author string")
+    assert sorted(map(tuple, joins.comment_thread(comments, posts).collect())) == [("p", "c1", "t", "a")] * 2
+    assert joins.orphan_comments(comments, posts).count() == 1
+    scores = spark.createDataFrame([("p", "positive", 0.5)] * 3, "post_id string, sentiment_label string, sentiment_score double")
+    assert joins.posts_with_sentiment(comments.select("post_id"), scores).count() == 3
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_split_at_run_time(spark):
+    """With a third and more of all rows under one key, the shuffled join runs in several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(0, 40000, 1, 8).select(
+            F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 500)).alias("post_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("body"))
+        posts = ids.select(F.col("post_id").alias("id"), F.lit("t").alias("title"), F.lit("a").alias("author"))
+        threads = joins.comment_thread(ids, posts)
+        assert "skew=true" in final_plan(threads) and threads.count() == 40000
+        sensors = ids.select(F.col("post_id").alias("sensor_id"), F.lit(1).alias("location_id"))
+        assert "skew=true" in final_plan(shape.enrich_sensor(ids.withColumnRenamed("post_id", "sensor_id"), sensors))
+        parsed = ids.select(
+            F.col("post_id").alias("location"), F.lit(T0).alias("event_time"), F.col("body").alias("temperature"),
+            F.lit(0.0).alias("humidity"), F.lit(0.0).alias("precipitation"))
+        means = ids.select(
+            F.struct(F.lit(T0).alias("start"), F.lit(T0).alias("end")).alias("window"), F.col("post_id").alias("loc"),
+            F.lit(1.0).alias("temp_7d_avg"), F.lit(1.0).alias("humidity_7d_avg"))
+        assert "skew=true" in final_plan(joins.with_latest_means(parsed, means))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
