@@ -1,7 +1,7 @@
 """Read operators: newest rows, anomalies, searches.
 
 "Newest n" is `orderBy(...).limit(n)`, which Spark runs as a distributed top-n.  Equal times are
-ordered by an id or by the row's other columns, so results are repeatable.
+ordered by an id, or by the row's other columns where there is none, so results are repeatable.
 """
 
 from __future__ import annotations
@@ -55,19 +55,15 @@ def weather_latest(
     weather: DataFrame, limit: int = 10, anomaly_only: bool = False, city: str | None = fv.CITY
 ) -> DataFrame:
     """Newest readings; `anomaly_only` drops the normal ones among those, so fewer may remain."""
-    rows = newest(
-        in_city(weather, city).select(*WEATHER_COLUMNS), check_limit(limit),
-        "temperature_celsius", "humidity",
-    )
+    served = in_city(weather, city).select(*WEATHER_COLUMNS)
+    rows = newest(served, check_limit(limit), *WEATHER_COLUMNS)
     return rows.filter(F.col("weather_anomaly") != fv.NORMAL) if anomaly_only else rows
 
 
 def weather_anomalies(weather: DataFrame, limit: int = 50, city: str | None = fv.CITY) -> DataFrame:
     """Newest anomalous readings."""
     odd = in_city(weather, city).filter(F.col("weather_anomaly") != fv.NORMAL)
-    return newest(
-        odd.select(*WEATHER_COLUMNS), check_limit(limit, 500), "temperature_celsius", "humidity"
-    )
+    return newest(odd.select(*WEATHER_COLUMNS), check_limit(limit, 500), *WEATHER_COLUMNS)
 
 
 def air_latest(
@@ -82,14 +78,14 @@ def air_latest(
     rows = in_city(air, city).select(*AIR_COLUMNS)
     if parameter:
         rows = rows.filter(F.col("parameter_normalized") == parameter)
-    rows = newest(rows, limit, "parameter_normalized", "value")
+    rows = newest(rows, limit, *AIR_COLUMNS)
     return rows.filter("pollution_spike") if spike_only else rows
 
 
 def pollution_spikes(air: DataFrame, limit: int = 50, city: str | None = fv.CITY) -> DataFrame:
     """Newest measurements above the spike limit."""
     rows = in_city(air, city).filter("pollution_spike").select(*AIR_COLUMNS)
-    return newest(rows, check_limit(limit, 500), "parameter_normalized", "value")
+    return newest(rows, check_limit(limit, 500), *AIR_COLUMNS)
 
 
 def _served_posts(posts: DataFrame) -> DataFrame:

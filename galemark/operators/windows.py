@@ -90,12 +90,14 @@ def trailing_means(
         number = F.col(column).cast("double")
         df = df.withColumn(numbers[name], F.when(~F.isnan(number), number))
         df = df.withColumn(f"{name}_nan", F.coalesce(F.isnan(number), F.lit(False)))
-    values = _sums(numbers)
-    values += [F.count_if(F.col(f"{n}_nan")).alias(f"nan_{n}") for n in means]
+    # In the order in which they are used below, so that the three uses share one shuffle.
+    values = []
+    for name in means:
+        values += [*_sums({name: numbers[name]}), F.count_if(f"{name}_nan").alias(f"nan_{name}")]
+    totals = [f"{part}_{n}" for n in means for part in ("sum", "cnt", "nan")]
     if counts:
         values.append(F.count("*").alias("cnt_rows"))
-    totals = [f"{part}_{n}" for n in means for part in ("sum", "cnt", "nan")]
-    totals += ["cnt_rows"] if counts else []
+        totals.append("cnt_rows")
 
     points = (
         df.filter(F.col(time).isNotNull())

@@ -697,8 +697,6 @@ oracle("recent_posts_sentiment", """
     FROM posts p JOIN sentiment s ON p.post_id = s.post_id
     ORDER BY p.event_time_utc DESC, p.post_id LIMIT 50""")
 oracle("temp_series", """
-    SELECT event_time_utc AS time, temperature_celsius AS value, city FROM weather
-    WHERE event_time_utc >= TIMESTAMP '2024-01-29 12:00:00'
-      AND event_time_utc < TIMESTAMP '2024-01-30 12:00:00'""")
+    SELECT event_time_utc AS time, temperature_celsius AS value, city FROM weather""")
 oracle("current_temperature", """
     SELECT temperature_celsius FROM weather ORDER BY event_time_utc DESC LIMIT 1""")

@@ -619,7 +619,7 @@ def recent_posts_sentiment(t: Inputs) -> DataFrame:
 
 @register
 def temp_series(t: Inputs) -> DataFrame:
-    return serve.temperature_series(t.weather, "2024-01-29 12:00:00", "2024-01-30 12:00:00")
+    return serve.temperature_series(t.weather)
 
 
 @register

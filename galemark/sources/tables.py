@@ -43,6 +43,12 @@ def table_or_empty(spark: SparkSession, name: str, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def cassandra_table(spark: SparkSession, keyspace: str, table: str) -> DataFrame:
+    """A Cassandra table (needs the connector, which takes an equality on the partition key)."""
+    reader = spark.read.format("org.apache.spark.sql.cassandra")
+    return reader.options(keyspace=keyspace, table=table).load()
+
+
 def path_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """A parquet table, or None where it cannot be read."""
     try:

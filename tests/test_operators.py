@@ -380,6 +380,8 @@ def test_limit_comes_before_or_after_the_anomaly_filter(spark):
     assert serve.weather_latest(frame, 1, city="lynn").first()["city"] == "Lynn"
     assert serve.weather_latest(frame, 1, city=None).first()["city"] == "Lynn"
     assert serve.current_temperature(frame).count() == 1
+    series = serve.temperature_series(frame, "2024-03-01 02:00:00", "2024-03-01 05:00:00").collect()
+    assert [r["time"].hour for r in series] == [2, 3, 4]
     text = serve.iso_times(serve.weather_latest(frame, 1)).first()["event_time_utc"]
     assert text == "2024-03-01T19:00:00"
 

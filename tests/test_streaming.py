@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from galemark import fixed_values as fv, schemas
 from galemark.operators import logs, windows
 from galemark.sources import envelope as env, tables
-from galemark.streaming import health, jobs, sinks
+from galemark.streaming import health, jobs, main, sinks
 
 START = datetime(2024, 1, 10, tzinfo=timezone.utc)
 
@@ -251,3 +251,15 @@ def test_table_or_empty(spark):
 def test_kafka_source_needs_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         env.kafka_envelope(spark, "nowhere:9092", fv.ALL_TOPICS)
+
+
+@pytest.mark.parametrize("job", ["tables", "weekly"])
+def test_command_line_job(spark, folder, job):
+    landed, out = folder("landed"), folder("out")
+    land(spark, landed, [weather_message(h) for h in range(3)], "a")
+    main.run(spark, main.arguments([job, "--landed", landed, "--out", out, "--checkpoints", folder("ck"), "--once"]))
+    if job == "tables":
+        assert spark.read.parquet(f"{out}/weather").count() == 3
+    else:
+        assert jobs.read_climate_metrics(spark, f"{out}/climate_metrics").count() == 3
+        assert jobs.read_weekly_means(spark, f"{out}/weekly_means").count() == 7
