@@ -16,6 +16,7 @@ from galemark.operators import clean, enrich, shape
 from galemark.operators.aggregate import cycle_throughput
 from galemark.operators.daily import daily_aggregates
 from galemark.sources import envelope as env
+from galemark.sources.tables import spread
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -36,16 +37,33 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread(self.table("documents"))
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        return spread(self.table("pages"))
+
     @cached_property
     def events(self) -> DataFrame:
         k = F.get_json_object("props", "$.k").cast("int")
         return self.table("events").withColumn("k", k)
 
+    @cached_property
+    def text_events(self) -> DataFrame:
+        """Events that are about to be written or read as JSON text."""
+        return spread(self.events)
+
     # Messages as their producers write them.
 
     @cached_property
     def weather_raw(self) -> DataFrame:
-        return self.events.select(
+        return self._weather_rows(self.events)
+
+    @staticmethod
+    def _weather_rows(events: DataFrame) -> DataFrame:
+        return events.select(
             F.expr(
                 "CASE event_type WHEN 'click' THEN ' Boston, USA' WHEN 'view' THEN 'North BOSTON ' "
                 "WHEN 'purchase' THEN 'Cambridge' WHEN 'error' THEN 'boston' END"
@@ -61,7 +79,11 @@ class Inputs:
 
     @cached_property
     def air_raw(self) -> DataFrame:
-        return self.events.select(
+        return self._air_rows(self.events)
+
+    @staticmethod
+    def _air_rows(events: DataFrame) -> DataFrame:
+        return events.select(
             F.expr("CASE WHEN event_id % 3 <> 0 THEN 'North Boston' END").alias("location"),
             F.expr(
                 "CASE event_id % 5 WHEN 0 THEN ' PM25' WHEN 1 THEN 'pm10 ' WHEN 2 THEN 'O3' "
@@ -79,7 +101,7 @@ class Inputs:
 
     @cached_property
     def social_raw(self) -> DataFrame:
-        return self.table("documents").select(
+        return self.documents.select(
             F.col("doc_id").cast("string").alias("id"),
             F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
             F.concat(F.lit(" "), F.upper("source"), F.lit(" ")).alias("author"),
@@ -142,7 +164,7 @@ class Inputs:
     def short_posts_raw(self) -> DataFrame:
         """Short posts; the word after each full stop is a hashtag."""
         text = F.replace(F.col("text"), F.lit(". "), F.lit(". #"))
-        return self.table("documents").select(
+        return self.documents.select(
             F.lit("x").alias("platform"),
             F.concat(F.lit("x"), F.col("doc_id")).alias("id"),
             text.alias("text"),
@@ -153,7 +175,11 @@ class Inputs:
 
     @cached_property
     def log_records(self) -> DataFrame:
-        rows = self.events.select(
+        return self._log_rows(self.events)
+
+    @staticmethod
+    def _log_rows(events: DataFrame) -> DataFrame:
+        rows = events.select(
             _iso().alias("ts_utc"),
             F.expr(
                 "CASE event_id % 4 WHEN 0 THEN 'weather_ingest' WHEN 1 THEN 'air_ingest' "
@@ -175,23 +201,28 @@ class Inputs:
     @cached_property
     def log_lines(self) -> DataFrame:
         """One JSON object per record, plus records of a component that no panel shows."""
-        other = self.log_records.withColumn("component", F.lit("x_ingest"))
-        rows = self.log_records.unionByName(other)
+        shown = self._log_rows(self.text_events)
+        rows = shown.unionByName(shown.withColumn("component", F.lit("x_ingest")))
         return rows.select(F.to_json(F.struct(*(c for c in rows.columns if c != "ts"))).alias("value"))
 
     # Envelopes and what the parsers make of them.
 
+    def messages(self, topic: str) -> DataFrame:
+        """The messages of one topic."""
+        rows, key = {
+            fv.WEATHER_TOPIC: lambda: (self._weather_rows(self.text_events), "location"),
+            fv.AIR_TOPIC: lambda: (self._air_rows(self.text_events), "location"),
+            fv.VIDEO_TOPIC: lambda: (self.social_raw, "id"),
+            fv.SENTIMENT_TOPIC: lambda: (self.sentiment_raw, "post_id"),
+            fv.POSTS_TOPIC: lambda: (self.forum_posts_raw, "id"),
+            fv.COMMENTS_TOPIC: lambda: (self.forum_comments_raw, "id"),
+        }[topic]()
+        return env.to_envelope(rows, topic, key, "at")
+
     @cached_property
     def envelope(self) -> DataFrame:
-        parts = (
-            env.to_envelope(self.weather_raw, fv.WEATHER_TOPIC, "location", "at"),
-            env.to_envelope(self.air_raw, fv.AIR_TOPIC, "location", "at"),
-            env.to_envelope(self.social_raw, fv.VIDEO_TOPIC, "id", "at"),
-            env.to_envelope(self.sentiment_raw, fv.SENTIMENT_TOPIC, "post_id", "at"),
-            env.to_envelope(self.forum_posts_raw, fv.POSTS_TOPIC, "id", "at"),
-            env.to_envelope(self.forum_comments_raw, fv.COMMENTS_TOPIC, "id", "at"),
-        )
-        return shape.union_sources(*parts)
+        """The messages of all topics in one frame."""
+        return shape.union_sources(*map(self.messages, fv.ALL_TOPICS))
 
     @staticmethod
     def _typed(raw: DataFrame, topic: str) -> DataFrame:
@@ -324,7 +355,7 @@ class Inputs:
             f"'datetimeFrom', named_struct('utc', date_format(ts, \"{ISO}\"))))"
         )
         bare = F.struct((F.col("value") / 2).alias("value"))
-        return self.events.select(F.format_string(
+        return self.text_events.select(F.format_string(
             '{"sensor_id":%d,"results":[%s,%s]}', "user_id", F.to_json(full), F.to_json(bare)
         ).alias("value"))
 
@@ -338,7 +369,7 @@ class Inputs:
             "'longitude', -71.25D, 'source', 'station')"
         )
         entries = f"array({entry.format(value='value')}, {entry.format(value='value + 1')})"
-        return self.events.select(F.to_json(F.struct(
+        return self.text_events.select(F.to_json(F.struct(
             F.lit("Boston").alias("city"),
             F.lit("42.3601,-71.0589").alias("coordinates"),
             _iso().alias("timestamp_utc"),
@@ -357,7 +388,7 @@ class Inputs:
             "'weathercode', array(event_id % 100, event_id % 50, event_id % 25), "
             "'windspeed_10m', array(value / 8, value / 4, value / 2))"
         )
-        return self.events.select(F.to_json(F.struct(
+        return self.text_events.select(F.to_json(F.struct(
             F.concat(F.lit("station "), F.col("user_id")).alias("location"),
             _iso().alias("timestamp_utc"),
             hourly.alias("hourly"),

@@ -87,42 +87,44 @@ def demux_count(t: Inputs) -> DataFrame:
 
 @register
 def parse_weather(t: Inputs) -> DataFrame:
-    return env.parse_weather(t.envelope)
+    return env.parse_weather(t.messages(fv.WEATHER_TOPIC))
 
 
 @register
 def parse_air(t: Inputs) -> DataFrame:
-    return env.parse_air(t.envelope)
+    return env.parse_air(t.messages(fv.AIR_TOPIC))
 
 
 @register
 def parse_social(t: Inputs) -> DataFrame:
-    return env.parse_social(t.envelope)
+    return env.parse_social(t.messages(fv.VIDEO_TOPIC))
 
 
 @register
 def parse_sentiment(t: Inputs) -> DataFrame:
-    return env.parse_sentiment(t.envelope)
+    return env.parse_sentiment(t.messages(fv.SENTIMENT_TOPIC))
 
 
 @register
 def parse_posts(t: Inputs) -> DataFrame:
-    return env.parse_posts(t.envelope)
+    return env.parse_posts(t.messages(fv.POSTS_TOPIC))
 
 
 @register
 def parse_comments(t: Inputs) -> DataFrame:
-    return env.parse_comments(t.envelope)
+    return env.parse_comments(t.messages(fv.COMMENTS_TOPIC))
 
 
 def _doubtful(t: Inputs) -> DataFrame:
     """Weather messages of which some are cut off and some have an unreadable time."""
-    sent = t.weather_raw.withColumn("timestamp_utc", F.when(
-        F.col("location") == "Cambridge", "yesterday").otherwise(F.col("timestamp_utc")))
-    messages = env.to_envelope(sent, fv.WEATHER_TOPIC, "location", "at")
-    cut = F.regexp_replace(F.col("value").cast("string"), r"\}$", "").cast("binary")
-    north = F.col("key").cast("string").contains("North")
-    return messages.withColumn("value", F.when(north, cut).otherwise(F.col("value")))
+    text_value, place = F.col("value").cast("string"), F.col("key").cast("string")
+    damaged = (
+        F.when(place.contains("North"), F.regexp_replace(text_value, r"\}$", ""))
+        .when(place == "Cambridge", F.regexp_replace(
+            text_value, r'"timestamp_utc":"[^"]*"', '"timestamp_utc":"yesterday"'))
+        .otherwise(text_value)
+    )
+    return t.messages(fv.WEATHER_TOPIC).withColumn("value", damaged.cast("binary"))
 
 
 @register
@@ -242,9 +244,9 @@ def union_sources(t: Inputs) -> DataFrame:
 
 @register
 def normalize_text(t: Inputs) -> DataFrame:
-    documents = t.table("documents").select(
+    documents = t.documents.select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
-    pages = t.table("pages").select(
+    pages = t.pages.select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
     return documents.unionByName(pages).select(
         "kind", "id", text.normalize_text(F.col("text")).alias("normalized")
@@ -253,22 +255,22 @@ def normalize_text(t: Inputs) -> DataFrame:
 
 @register
 def clean_weather(t: Inputs) -> DataFrame:
-    return clean.clean_weather(env.parse_weather(t.envelope))
+    return clean.clean_weather(env.parse_weather(t.messages(fv.WEATHER_TOPIC)))
 
 
 @register
 def clean_air(t: Inputs) -> DataFrame:
-    return clean.clean_air(env.parse_air(t.envelope))
+    return clean.clean_air(env.parse_air(t.messages(fv.AIR_TOPIC)))
 
 
 @register
 def clean_social(t: Inputs) -> DataFrame:
-    return clean.clean_social(env.parse_social(t.envelope))
+    return clean.clean_social(env.parse_social(t.messages(fv.VIDEO_TOPIC)))
 
 
 @register
 def clean_sentiment(t: Inputs) -> DataFrame:
-    return clean.clean_sentiment(env.parse_sentiment(t.envelope))
+    return clean.clean_sentiment(env.parse_sentiment(t.messages(fv.SENTIMENT_TOPIC)))
 
 
 # Enrichment.
@@ -352,7 +354,7 @@ def sentiment_serving(t: Inputs) -> DataFrame:
 
 @register
 def training_set(t: Inputs) -> DataFrame:
-    posts = t.table("documents").select(F.col("doc_id").alias("post_id"), "text")
+    posts = t.documents.select(F.col("doc_id").alias("post_id"), "text")
     labels = t.table("labels").withColumnRenamed("doc_id", "post_id")
     return classify.training_set(posts, labels)
 
