@@ -1,6 +1,7 @@
 """Cleaning: valid rows, place filter, normalized text, fixed projections.
 
-Times stay as they are: the session runs in UTC, so the event time already is the UTC time.
+Times stay as they are: the session runs in UTC, so the event time already is the UTC time.  The result
+columns are fixed values.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ from galemark.functions.stats import newest_rows, rolling_pearson
 from galemark.operators.aggregate import label_counters
 from galemark.operators.serve import daily_latest
 
+# Figures of a daily row.
 _MEASURES = (
     "avg_temperature", "avg_feels_like", "max_temperature", "min_temperature", "avg_humidity",
     "total_precipitation", "avg_wind_speed", "avg_aqi_score", "avg_health_risk",

@@ -87,6 +87,7 @@ def tag_posts(
 
 def weather_output(enriched: DataFrame) -> DataFrame:
     """Columns of the stored weather table."""
+    # The columns.
     return enriched.select(
         "city", "event_time_utc", "temperature_celsius", "feels_like_temp", "humidity",
         "precipitation", "wind_speed", "wind_category", "weather_anomaly", "weather_code",
@@ -96,6 +97,7 @@ def weather_output(enriched: DataFrame) -> DataFrame:
 
 def air_output(enriched: DataFrame) -> DataFrame:
     """Columns of the stored air-quality table."""
+    # The columns.
     return enriched.select(
         "city", "event_time_utc", "parameter_normalized",
         F.col("value_standard_unit").alias("value"),
@@ -106,6 +108,7 @@ def air_output(enriched: DataFrame) -> DataFrame:
 
 def social_output(enriched: DataFrame) -> DataFrame:
     """Columns of the stored posts table."""
+    # The columns.
     return enriched.select(
         F.col("id").alias("post_id"),
         "title_normalized", "body_normalized", "author_normalized",

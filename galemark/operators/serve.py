@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from galemark import fixed_values as fv
 from galemark.functions.text import city_literal, city_name, lower_each
 
+# Result columns.
 WEATHER_COLUMNS = (
     "city", "event_time_utc", "temperature_celsius", "feels_like_temp", "humidity",
     "precipitation", "wind_speed", "wind_category", "weather_anomaly",
