@@ -54,9 +54,9 @@ def training_set(
     Texts are grouped by digest and length, and each map task keeps one row per text, so a text with
     many copies costs no more than the others.
     """
-    clean = normalize_text(F.col(text))
-    labelled = posts.select(key, clean.alias("text")).join(one_per_key(labels, key), key)
     rest = [c for c in labels.columns if c != key]
+    found = posts.select(key, F.col(text).alias("text")).join(one_per_key(labels, key), key)
+    labelled = found.withColumn("text", normalize_text(F.col("text")))
     kept = labelled.groupBy(
         F.sha2("text", 256).alias("digest"), F.length("text").alias("size")
     ).agg(F.min_by(F.struct(key, "text", *rest), F.col(key)).alias("row"))

@@ -1,6 +1,7 @@
 """Hand-checked expressions: boundaries, missing values, texts."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,6 +110,32 @@ def test_normalized_text(spark):
     assert one(spark, "t string", [None], text.normalize_text(F.col("t"))) == [""]
 
 
+def by_characters(t):
+    """The normalized text, one character at a time."""
+    kept, i = [], 0
+    while i < len(t):
+        prefix = next((p for p in ("http", "www") if t.startswith(p, i)), None)
+        after = i + len(prefix or "")
+        if prefix and after < len(t) and not t[after].isspace():
+            i = next((j for j in range(after, len(t)) if t[j].isspace()), len(t))
+            continue
+        if t[i].isspace() or (t[i].isascii() and t[i].isalnum()):
+            kept.append(t[i])
+        i += 1
+    return "".join(kept).lower().strip()
+
+
+def test_normalized_text_equals_brute_force(spark):
+    rng = random.Random(11)
+    parts = ["http", "www", "h", "w", "t", " ", "\t", "\n", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u2003",
+             "\u2029", "\u3000", "\u200b", "é", "ß", "İ", "😀", ".", "/", "A", "z", "9", "_", "٣"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(3000)]
+    found = one(spark, "t string", texts, text.normalize_text(F.col("t")))
+    assert [(t, f) for t, f in zip(texts, found) if f != by_characters(t)] == []
+    tags = one(spark, "t string", [t.replace("z", "#") for t in texts], text.hashtags(F.col("t")))
+    assert tags == [[w for w in t.replace("z", "#").split() if w.startswith("#")] for t in texts]
+
+
 def test_hashtags_keep_order_and_repeats(spark):
     texts = ["#b a\t#a #b x#y #z", "", None]
     assert one(spark, "t string", texts, text.hashtags(F.col("t"))) == [["#b", "#a", "#b", "#z"], [], []]
