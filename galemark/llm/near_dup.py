@@ -85,7 +85,7 @@ def _sets(docs: DataFrame, words: int, lower: bool, k: int) -> DataFrame:
 
 def shingle_sets(texts: pa.Array, words: int, lower: bool):
     """The sorted distinct shingle hashes of each text."""
-    _, _, _, hashes, first = wordhash.words_of(texts, lower)
+    _, _, _, hashes, first = wordhash.words_of(texts, wordhash.LOWER if lower else wordhash.EXACT)
     shingles = wordhash.runs(hashes, words)
     for a, b in zip(first[:-1], first[1:]):
         if b - a >= words:

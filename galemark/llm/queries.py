@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from galemark.llm.decontaminate import OP10_SQL, op10_benchmark_decontamination
+from galemark.llm.importance import op1_importance_resampling
+from galemark.llm.line_dedup import OP8_SQL, op8_line_dedup
 from galemark.llm.near_dup import op2_minhash_near_dedup
+from galemark.llm.packing import op7_best_fit_packing
 from galemark.llm.substring import op3_substring_dedup
+from galemark.llm.warc import OP9_SQL, op9_warc_transactions
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_minhash_near_dedup, op3_substring_dedup)
+    for f in (
+        op1_importance_resampling, op2_minhash_near_dedup, op3_substring_dedup,
+        op7_best_fit_packing, op8_line_dedup, op9_warc_transactions, op10_benchmark_decontamination,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_line_dedup": OP8_SQL,
+    "op9_warc_transactions": OP9_SQL,
+    "op10_benchmark_decontamination": OP10_SQL,
+}

@@ -13,9 +13,12 @@ import numpy as np
 import pyarrow as pa
 
 _SEED = np.random.default_rng(20240131)
-_BYTE = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
+#: A value for each byte: as it is, with A-Z as a-z, and so but with ASCII punctuation left out.
+EXACT = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+LOWER = EXACT.copy()
+LOWER[65:91] = EXACT[97:123]
+BARE = LOWER.copy()
+BARE[[b for b in range(33, 127) if not chr(b).isalnum()]] = 0
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -50,23 +53,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _block(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block(data: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     gap = np.ones(len(data) + 2, bool)
     np.take(_SPACE, data, out=gap[1:-1])
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     starts, ends = edge[::2], edge[1::2]
-    value = np.take(_LOWER if lower else _BYTE, data)
+    value = np.take(values, data)
     value *= powers(_BYTE_MUL, len(data))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(value, out=total[1:])
     hashes = (total[ends] - total[starts]) * powers(_BYTE_MUL, len(data) + 1, True)[starts]
-    return starts, ends, mix(hashes + (ends - starts).astype(np.uint64))
+    return starts, ends, mix(hashes)
 
 
-def words(data: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, values: np.ndarray = EXACT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends (byte offsets, end exclusive) and hashes of all words of a byte array.
 
-    `lower` takes A-Z as a-z.  Memory stays near the result's for any length: blocks are cut at a gap.
+    `values` says what counts in a byte.  Memory stays near the result's for any length: blocks are cut
+    at a gap.
     """
     parts, at = [], 0
     while at < len(data):
@@ -77,7 +81,7 @@ def words(data: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray
                 to = max(at, to - 4096) + int(gaps[-1]) + 1
                 break
             to = min(len(data), to + 4096)
-        s, e, h = _block(data[at:to], lower)
+        s, e, h = _block(data[at:to], values)
         parts.append((s + at, e + at, h))
         at = to
     if not parts:
@@ -119,7 +123,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         at = to
 
 
-def words_of(column: pa.Array, lower: bool = False):
+def words_of(column: pa.Array, values: np.ndarray = EXACT):
     """Words of a string column: data, starts, ends, hashes, and for each row where its words begin.
 
     A gap byte is put between rows, so that no word spans two of them.
@@ -129,6 +133,6 @@ def words_of(column: pa.Array, lower: bool = False):
     spaced = np.full(len(data) + n, 0x20, np.uint8)
     if len(data):
         spaced[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets))] = data
-    starts, ends, hashes = words(spaced, lower)
+    starts, ends, hashes = words(spaced, values)
     first = np.searchsorted(starts, offsets + np.arange(n + 1))
     return spaced, starts, ends, hashes, first
