@@ -8,6 +8,7 @@ from galemark.llm.line_dedup import OP8_SQL, op8_line_dedup
 from galemark.llm.near_dup import op2_minhash_near_dedup
 from galemark.llm.packing import op7_best_fit_packing
 from galemark.llm.permutation_index import op6_permutation_index
+from galemark.llm.pii import op5_pii_boosting
 from galemark.llm.secrets import op4_secret_linking
 from galemark.llm.substring import op3_substring_dedup
 from galemark.llm.warc import OP9_SQL, op9_warc_transactions
@@ -16,7 +17,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_importance_resampling, op2_minhash_near_dedup, op3_substring_dedup, op4_secret_linking,
-        op6_permutation_index, op7_best_fit_packing, op8_line_dedup, op9_warc_transactions, op10_benchmark_decontamination,
+        op5_pii_boosting, op6_permutation_index, op7_best_fit_packing, op8_line_dedup, op9_warc_transactions, op10_benchmark_decontamination,
     )
 }
 
