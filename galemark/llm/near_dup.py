@@ -7,12 +7,13 @@
    but for a chance below 1e-7 (sets of at most k shingles are their own sketch: no chance at all).
    So two such sketches must meet among the k / 2 + 1 values of each that fewest classes hold
    (whole small sets: among the last 20 %), and only those are posted to inverted lists.
-3. A list compares its members with a few of them, its hubs, first; what is linked then needs no
-   more comparison within its component.  Whatever is still in different components is compared
-   in a second pass, so no link is lost, and a group of many copies costs rows in proportion to
-   its size unless it really falls apart.
-4. A pair goes on if sizes allow the similarity and the union sketch estimates at least half.
-   Those sets are then read again, whole, and compared exactly.
+3. A list compares its members with a few of them, its hubs, first.  A pair goes on if sizes allow
+   the similarity and the union sketch estimates at least half; those sets are read again, whole,
+   and compared exactly.  What is linked then needs no more comparison within its component.
+4. Lists whose members are still in different components are compared in a second pass, so no link
+   is lost: lists of one hub make a bucket, buckets are cut into blocks of bounded size, and a task
+   compares two blocks by one matrix product.  It returns members that have a likely partner, then,
+   with their whole sets, a forest of exact links: never a row per pair.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from galemark.llm.components import components
 K = 64
 #: Members of an inverted list that all others are compared with first.
 HUBS = 8
+#: Members of a block of the second pass.
+BLOCK = 1024
 
 
 def near_duplicates(
@@ -55,12 +58,10 @@ def near_duplicates(
         "classes",
     )
     posts = save(_posts(classes, percent, k), "posts")
-    share = percent / 100
-    near = _links(posts, None, classes, docs, words, lower, percent, share, k, hubs)
+    near = _hub_links(posts, classes, docs, words, lower, percent, k, hubs)
     found = save(components(near), "components")
-    rest = _links(posts, found, classes, docs, words, lower, percent, share, k, 0)
-    all_links = near.union(rest)
-    found = save(components(all_links), "components")
+    rest = _block_links(posts, found, classes, docs, words, lower, percent, k)
+    found = save(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)), "components")
     return _answer(rows, classes, found)
 
 
@@ -128,23 +129,12 @@ def _posts(classes: DataFrame, percent: int, k: int) -> DataFrame:
     return ranked.select("id", "n", F.explode("v").alias("v")).select("v.value", "id", "n")
 
 
-def _links(posts, found, classes, docs, words, lower, percent, share, k, hubs) -> DataFrame:
-    """(a, b) of classes, a < b, that are linked; with `found`, only between its components."""
-    node = posts
-    if found is not None:
-        node = posts.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
-            "c", F.coalesce("component", "id")
-        )
-        # Lists whose members are all in one component are done.
-        open_lists = node.groupBy("value").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
-        node = save(node.join(open_lists.select("value"), "value").select("value", "id", "n", "c"), "open")
-        left, right, apart = node, node, F.col("l.c") != F.col("r.c")
-    else:
-        left, right, apart = _hubs(posts, hubs), posts, F.lit(True)
-    sizes = (F.least("l.n", "r.n") >= share * F.greatest("l.n", "r.n"))
-    order = F.col("l.id") != F.col("r.id") if found is None else F.col("l.id") < F.col("r.id")
+def _hub_links(posts, classes, docs, words, lower, percent, k, hubs) -> DataFrame:
+    """(a, b), a < b: links between the hubs of a list and its members."""
+    sizes = 100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n")
     pairs = (
-        left.alias("l").join(right.alias("r"), (F.col("l.value") == F.col("r.value")) & apart & order & sizes)
+        _hubs(posts, hubs).alias("l")
+        .join(posts.alias("r"), (F.col("l.value") == F.col("r.value")) & (F.col("l.id") != F.col("r.id")) & sizes)
         .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
         .distinct()
     )
@@ -152,6 +142,117 @@ def _links(posts, found, classes, docs, words, lower, percent, share, k, hubs) -
     return save(_exact(likely, docs, words, lower, percent), "near")
 
 
+def _block_links(posts, found, classes, docs, words, lower, percent, k) -> DataFrame:
+    """(a, b): a forest of the links between different components of the first pass."""
+    hub = posts.groupBy("value").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"].alias("hub"))
+    member = posts.join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "value", "id", "n", F.coalesce("component", "id").alias("c")
+    )
+    bucket = member.join(hub, "value").select("hub", "id", "n", "c").distinct()
+    several = bucket.groupBy("hub").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("hub")
+    bucket = save(bucket.join(several, "hub"), "open")
+    sketches = bucket.join(classes.select("id", F.col("sketch").alias("body")), "id")
+    likely = save(_blocks(sketches, percent, k, False).select("hub", F.col("a").alias("id")).distinct(), "active")
+    sets = _whole_sets(likely.select("id").distinct(), docs, words, lower)
+    whole = bucket.join(likely, ["hub", "id"]).join(sets, "id")
+    return save(_blocks(whole, percent, k, True).select("a", "b").distinct(), "rest")
+
+
+def _blocks(rows: DataFrame, percent: int, k: int, exact: bool) -> DataFrame:
+    """(hub, a, b) from buckets (hub, id, n, c, body), compared block by block.
+
+    Exact: bodies are whole sets, and (a, b) are links that join components.  Else bodies are
+    sketches, and a is a member with a likely partner in another component.
+    """
+    rows = save(rows.select("hub", "id", "n", "c", "body"), "bodies")
+    blocks = rows.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = (
+        rows.join(blocks, "hub").withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    )
+    key = ["hub", "i", "j"]
+    sorted_rows = dealt.select(*key, "own", "id", "n", "c", "body").repartition(*key).sortWithinPartitions(*key, "own", "id")
+
+    def compare(batches):
+        held = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch]).combine_chunks()
+            h, i, j = (now.column(c).to_numpy() for c in key)
+            change = np.flatnonzero((h[1:] != h[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            edges = np.r_[0, change]
+            held = now.slice(edges[-1]) if len(h) else None  # the last group may go on
+            yield from grouped(now, edges)
+        if held is not None and held.num_rows:
+            yield from grouped(held, np.array([0, held.num_rows]))
+
+    def grouped(now, edges):
+        out = []
+        own, ids, n, c, i, j, h = (now.column(x).to_numpy() for x in ("own", "id", "n", "c", "i", "j", "hub"))
+        body = now.column("body")
+        for start, end in zip(edges[:-1], edges[1:]):
+            at = slice(start, end)
+            if (c[at] == c[start]).all():
+                continue
+            values = [np.frombuffer(x.as_buffer(), np.uint64) for x in body.slice(start, end - start)]
+            left, right = np.flatnonzero(own[at] == i[start]), np.flatnonzero(own[at] == j[start])
+            common = _common(values, left, right)
+            x, y = n[at][left][:, None], n[at][right][None, :]
+            if exact:
+                good = 100 * common >= percent * (x + y - common)
+            else:
+                good = (2 * common >= np.minimum(k, np.maximum(x, y))) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+            good &= c[at][left][:, None] != c[at][right][None, :]
+            p, q = np.nonzero(good)
+            if exact:
+                out += [(h[start], ids[at][a], ids[at][b]) for a, b in _forest(left[p], right[q], c[at])]
+            else:
+                out += [(h[start], a, a) for a in np.unique(ids[at][np.r_[left[p], right[q]]])]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out)], ["hub", "a", "b"])
+
+    return sorted_rows.mapInArrow(compare, "hub long, a long, b long")
+
+
+def _common(values: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of two lists of sets, by products of 0/1 matrices of bounded width."""
+    size = np.array([len(v) for v in values])
+    every, code, times = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(values)), size)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    row, code = row[shared[code]], number[code[shared[code]]]
+    total = np.zeros((len(left), len(right)), np.int64)
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    for begin in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(code, [begin, begin + 4096])
+        matrix = np.zeros((len(values), 4096), np.float32)
+        matrix[row[a:b], code[a:b] - begin] = 1
+        matrix = matrix[:, : min(4096, int(shared.sum()) - begin)]
+        total += (matrix[left] @ matrix[right].T).astype(np.int64)
+    return total
+
+
+def _forest(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the links (a, b) that join two components c, one after another."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        p, q = root(int(c[x])), root(int(c[y]))
+        if p != q:
+            parent[p] = q
+            out.append((x, y))
+    return out
+
+
 def _hubs(posts: DataFrame, hubs: int) -> DataFrame:
     """Of each list, up to `hubs` members: the one of smallest hash in each of `hubs` parts of it.
 
@@ -187,12 +288,10 @@ def _likely(pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(estimate, "a long, b long").distinct()
 
 
-def _exact(pairs: DataFrame, docs: DataFrame, words: int, lower: bool, percent: int) -> DataFrame:
-    """Pairs that reach the similarity, by the whole sets of both texts."""
-    spark = docs.sparkSession
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    # A bitmap of fixed size keeps most texts out of the scan; the joins below are exact.
-    wanted = spark.sparkContext.broadcast(bitmap(ids, "id"))
+def _whole_sets(ids: DataFrame, docs: DataFrame, words: int, lower: bool) -> DataFrame:
+    """(id, body): the whole sets of the texts of some documents, read again."""
+    # A bitmap of fixed size keeps most texts out; the join below is exact.
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "id"))
 
     def scan(batches):
         for batch in batches:
@@ -203,7 +302,13 @@ def _exact(pairs: DataFrame, docs: DataFrame, words: int, lower: bool, percent:
 
     sets = docs.filter(F.col("doc_id").isNotNull()).mapInArrow(scan, "id long, body binary")
     sets = sets.join(ids, "id", "left_semi").groupBy("id", F.xxhash64("body").alias("h")).agg(F.first("body").alias("body"))
-    sets = save(sets.select("id", "body"), "sets")
+    return save(sets.select("id", "body"), "sets")
+
+
+def _exact(pairs: DataFrame, docs: DataFrame, words: int, lower: bool, percent: int) -> DataFrame:
+    """Pairs that reach the similarity, by the whole sets of both texts."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = _whole_sets(ids, docs, words, lower)
     both = (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("body").alias("x")), "a")
         .join(sets.select(F.col("id").alias("b"), F.col("body").alias("y")), "b")
