@@ -11,8 +11,8 @@
    the similarity and the union sketch estimates at least half; those sets are read again, whole,
    and compared exactly.  What is linked then needs no more comparison within its component.
 4. Lists whose members are still in different components are compared in a second pass, so no link
-   is lost: lists of one hub make a bucket, buckets are cut into blocks of bounded size, and a task
-   compares two blocks by one matrix product.  It returns members that have a likely partner, then,
+   is lost: lists of one hub make a bucket for each class of sizes that allow the similarity, buckets
+   are cut into blocks of bounded size, and a task compares two blocks by one matrix product.  It returns members that have a likely partner, then,
    with their whole sets, a forest of exact links: never a row per pair.
 """
 
@@ -29,7 +29,7 @@ from galemark.llm.components import components
 #: Values kept of each set.
 K = 64
 #: Members of an inverted list that all others are compared with first.
-HUBS = 8
+HUBS = 4
 #: Members of a block of the second pass.
 BLOCK = 1024
 
@@ -148,9 +148,17 @@ def _block_links(posts, found, classes, docs, words, lower, percent, k) -> DataF
     member = posts.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "value", "id", "n", F.coalesce("component", "id").alias("c")
     )
-    bucket = member.join(hub, "value").select("hub", "id", "n", "c").distinct()
-    several = bucket.groupBy("hub").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("hub")
-    bucket = save(bucket.join(several, "hub"), "open")
+    # Sizes whose ratio allows the similarity are in one class or in two that follow each other, so
+    # each member stands in its own class and the next.
+    own = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9) if percent < 100 else F.col("n")
+    bucket = (
+        member.join(hub, "value").select("hub", "id", "n", "c").distinct()
+        .select(F.explode(F.array(own, own + 1)).alias("sizes"), "hub", "id", "n", "c")
+    )
+    several = bucket.groupBy("hub", "sizes").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y")
+    bucket = bucket.join(several.select("hub", "sizes"), ["hub", "sizes"])
+    # The class goes into the bucket's name, so that a bucket is one number from here on.
+    bucket = save(bucket.select(F.xxhash64("hub", "sizes").alias("hub"), "id", "n", "c"), "open")
     sketches = bucket.join(classes.select("id", F.col("sketch").alias("body")), "id")
     likely = save(_blocks(sketches, percent, k, False).select("hub", F.col("a").alias("id")).distinct(), "active")
     sets = _whole_sets(likely.select("id").distinct(), docs, words, lower)
