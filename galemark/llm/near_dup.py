@@ -159,19 +159,26 @@ def _block_links(posts, found, classes, docs, words, lower, percent, k) -> DataF
     bucket = bucket.join(several.select("hub", "sizes"), ["hub", "sizes"])
     # The class goes into the bucket's name, so that a bucket is one number from here on.
     bucket = save(bucket.select(F.xxhash64("hub", "sizes").alias("hub"), "id", "n", "c"), "open")
-    sketches = bucket.join(classes.select("id", F.col("sketch").alias("body")), "id")
-    likely = save(_blocks(sketches, percent, k, False).select("hub", F.col("a").alias("id")).distinct(), "active")
+
+    def active(bodies: DataFrame, stage: str) -> DataFrame:
+        return save(_blocks(bodies, percent, k, stage).select("hub", F.col("a").alias("id")).distinct(), "active")
+
+    posted = posts.groupBy("id").agg(F.collect_list("value").alias("body"))
+    likely = active(bucket.join(posted, "id"), "lists")
+    sketches = classes.select("id", F.col("sketch").alias("body"))
+    likely = active(bucket.join(likely, ["hub", "id"]).join(sketches, "id"), "sketches")
     sets = _whole_sets(likely.select("id").distinct(), docs, words, lower)
     whole = bucket.join(likely, ["hub", "id"]).join(sets, "id")
-    return save(_blocks(whole, percent, k, True).select("a", "b").distinct(), "rest")
+    return save(_blocks(whole, percent, k, "sets").select("a", "b").distinct(), "rest")
 
 
-def _blocks(rows: DataFrame, percent: int, k: int, exact: bool) -> DataFrame:
+def _blocks(rows: DataFrame, percent: int, k: int, stage: str) -> DataFrame:
     """(hub, a, b) from buckets (hub, id, n, c, body), compared block by block.
 
-    Exact: bodies are whole sets, and (a, b) are links that join components.  Else bodies are
-    sketches, and a is a member with a likely partner in another component.
+    Bodies are lists (of posted values), sketches or sets.  Of sets, (a, b) are links that join
+    components; else a is a member that may have a partner in another component.
     """
+    exact = stage == "sets"
     rows = save(rows.select("hub", "id", "n", "c", "body"), "bodies")
     blocks = rows.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -203,14 +210,20 @@ def _blocks(rows: DataFrame, percent: int, k: int, exact: bool) -> DataFrame:
             at = slice(start, end)
             if (c[at] == c[start]).all():
                 continue
-            values = [np.frombuffer(x.as_buffer(), np.uint64) for x in body.slice(start, end - start)]
+            part = body.slice(start, end - start)
+            if stage == "lists":
+                values = [x.values.to_numpy() for x in part]
+            else:
+                values = [np.frombuffer(x.as_buffer(), np.uint64) for x in part]
             left, right = np.flatnonzero(own[at] == i[start]), np.flatnonzero(own[at] == j[start])
             common = _common(values, left, right)
             x, y = n[at][left][:, None], n[at][right][None, :]
             if exact:
                 good = 100 * common >= percent * (x + y - common)
             else:
-                good = (2 * common >= np.minimum(k, np.maximum(x, y))) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+                # Half of the union sketch, which has min(k, larger set) values at least.
+                least = 1 if stage == "lists" else np.minimum(k, np.maximum(x, y)) / 2
+                good = (common >= least) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
             good &= c[at][left][:, None] != c[at][right][None, :]
             p, q = np.nonzero(good)
             if exact:
