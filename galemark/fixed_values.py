@@ -67,9 +67,9 @@ AIR_BOUNDS = {
 SPIKE_ABOVE = 100
 
 # Fixed values (ours): index at each class's upper bound, after the public US EPA index, and the
-# concentration at which the open last class is capped.
+# concentration at which the open last class reaches 300.
 INDEX_STEPS = (50, 100, 150, 200, 300)
-INDEX_CAPS = {"pm25": 250.4, "pm10": 424, "o3": 200}
+INDEX_TOPS = {"pm25": 250.4, "pm10": 424, "o3": 200}
 
 # Weight of an upvote in the engagement score.
 UPVOTE_WEIGHT = 0.8

@@ -37,21 +37,20 @@ def health_risk_level(category: Column) -> Column:
 
 
 def aqi_score(pollutant: Column, value: Column) -> Column:
-    """Index 0..300, linear inside each class (our definition, after the public EPA formula).
+    """Index from 0, linear inside each class (our definition, after the public EPA formula).
 
-    The index rises linearly from the previous class's top index to this class's, the last class is
-    capped, negative values count as 0, unknown pollutants and missing values give null.
+    The index rises linearly from the previous class's top index to this class's; in the last
+    class the slope goes on.  Negative values count as 0, unknown pollutants and missing values give null.
     """
     clipped = F.greatest(value, F.lit(0.0))
     branches = {}
     for name, bounds in fv.AIR_BOUNDS.items():
-        tops = [float(b) for b in (*bounds, fv.INDEX_CAPS[name])]
+        tops = [float(b) for b in (*bounds, fv.INDEX_TOPS[name])]
         chain = F
         low, base = 0.0, 0.0
         for top, index in zip(tops, fv.INDEX_STEPS):
             linear = F.lit(base) + (clipped - low) * (index - base) / (top - low)
             chain = chain.when(clipped <= top, linear)
             low, base = top, float(index)
-        capped = chain.otherwise(F.lit(base))
-        branches[name] = F.when(value.isNotNull(), capped)
+        branches[name] = F.when(value.isNotNull(), chain.otherwise(linear))
     return _per_pollutant(pollutant, branches)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -53,12 +54,19 @@ def mentions_any(texts: Sequence[Column], words: Sequence[str]) -> Column:
 
 
 def terms_in(lowered: Column, terms: Sequence[str]) -> Column:
-    """The `terms` found in lower-case text (ignoring their case), in order; null gives [].
+    """The `terms` that stand as whole words in lower-case text, in order; null gives [].
 
-    One test per term, which stays in generated code; a lambda over the list would not.
+    Of terms that overlap in the text the one that begins first counts, then the longest, so "west
+    roxbury" does not name "Roxbury".  One pass over the text finds all of them.
     """
-    hits = [F.when(lowered.contains(t.lower()), F.lit(t)).otherwise(F.lit("")) for t in terms]
-    return F.array_remove(F.array(*hits), "")
+    named = {t.lower(): t for t in reversed(terms)}
+    longest = sorted(named, key=lambda t: (-len(t), t))
+    pattern = r"\b(" + "|".join(map(re.escape, longest)) + r")\b"
+    found = F.regexp_extract_all(F.coalesce(lowered, F.lit("")), F.lit(pattern), 1)
+    # The intersection looks at `found` once; a test per term would search the text for each.
+    wanted = F.array(*(F.lit(t) for t in dict.fromkeys(t.lower() for t in terms)))
+    names = F.create_map(*(F.lit(x) for pair in named.items() for x in pair))
+    return F.transform(F.array_intersect(wanted, found), lambda t: F.element_at(names, t))
 
 
 def hashtags(text: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from galemark.functions.social import winning_class, winning_probability
 from galemark.functions.text import normalize_text
-from galemark.operators.windows import one_per_key
+from galemark.operators.windows import agreed_per_key
 
 
 def decide(scored: DataFrame, labels: Sequence[str], logits: str = "logits") -> DataFrame:
@@ -51,11 +51,12 @@ def training_set(
 ) -> DataFrame:
     """Labelled texts without repeats: of equal normalized texts the one with the smallest key.
 
+    Keys whose labels contradict each other are left out.
     Texts are grouped by digest and length, and each map task keeps one row per text, so a text with
     many copies costs no more than the others.
     """
     rest = [c for c in labels.columns if c != key]
-    found = posts.select(key, F.col(text).alias("text")).join(one_per_key(labels, key), key)
+    found = posts.select(key, F.col(text).alias("text")).join(agreed_per_key(labels, key), key)
     labelled = found.withColumn("text", normalize_text(F.col("text")))
     kept = labelled.groupBy(
         F.sha2("text", 256).alias("digest"), F.length("text").alias("size")

@@ -121,7 +121,8 @@ def social_output(enriched: DataFrame) -> DataFrame:
 def sentiment_output(sentiment: DataFrame, posts: DataFrame | None = None) -> DataFrame:
     """Served sentiment rows: category, confidence and engagement with their defaults.
 
-    The category is the label (ours).  Engagement comes from `posts` (post_id, upvotes), 0 without.
+    The category is the label (ours).  Engagement comes from `posts` (post_id, upvotes), 0 without;
+    of a post's copies the highest counts.
     """
     if posts is None:
         rows = sentiment.withColumn("engagement_score", F.lit(0.0))

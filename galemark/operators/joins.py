@@ -7,6 +7,8 @@ of the other side otherwise (adaptive skew join).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from galemark.functions.stats import slice_of
@@ -55,20 +57,26 @@ def climate_metrics(readings: DataFrame, means: DataFrame) -> DataFrame:
     )
 
 
-def posts_with_sentiment(posts: DataFrame, sentiment: DataFrame) -> DataFrame:
-    """Every post with its score, if any."""
-    scores = sentiment.select("post_id", "sentiment_label", "sentiment_score")
-    return posts.join(one_per_key(scores, "post_id"), "post_id", "left")
+def posts_with_sentiment(
+    posts: DataFrame, sentiment: DataFrame, newest: Sequence[str] = ("event_time_utc",)
+) -> DataFrame:
+    """Every post with its newest score by `newest`, if any."""
+    scores = sentiment.select("post_id", *newest, "sentiment_label", "sentiment_score")
+    return posts.join(one_per_key(scores, "post_id", newest).drop(*newest), "post_id", "left")
 
 
-def comment_thread(comments: DataFrame, posts: DataFrame) -> DataFrame:
-    """Comments with the title and author of their post."""
+def comment_thread(
+    comments: DataFrame, posts: DataFrame, newest: Sequence[str] = ("timestamp",)
+) -> DataFrame:
+    """Comments with the title and author of their post, in its newest version by `newest`."""
     parents = posts.select(
         F.col("id").alias("post_id"),
+        *(F.col(c).alias(f"_{c}") for c in newest),
         F.col("title").alias("post_title"),
         F.col("author").alias("post_author"),
     )
-    return comments.join(one_per_key(parents, "post_id"), "post_id")
+    order = [f"_{c}" for c in newest]
+    return comments.join(one_per_key(parents, "post_id", order).drop(*order), "post_id")
 
 
 def orphan_comments(comments: DataFrame, posts: DataFrame) -> DataFrame:

@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from galemark.functions.stats import ratio, slice_of
+from galemark.functions.stats import ratio
 
 # Quantiles of the daily summary.
 QUANTILES = {"q02": 0.02, "q25": 0.25, "median": 0.5, "q75": 0.75, "q98": 0.98}
 
-# Readings of one group that a single task may hold at once.
-GROUP_LIMIT = 1_000_000
-
 
 def sensor_daily_summary(
     readings: DataFrame,
@@ -21,7 +18,6 @@ def sensor_daily_summary(
     value: str = "value",
     time: str = "event_time",
     expected: int = 24,
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Minimum, quantiles, maximum, mean, deviation and coverage per sensor and UTC day.
 
@@ -34,7 +30,7 @@ def sensor_daily_summary(
     keys = [sensor, "date"]
     observed = F.col("observed_count")
     return quantiles_per_group(
-        days, keys, "value", QUANTILES, group_limit,
+        days, keys, "value", QUANTILES,
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.avg("value").alias("avg"),
@@ -48,113 +44,15 @@ def sensor_daily_summary(
 
 
 def quantiles_per_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    group_limit: int = GROUP_LIMIT,
-    *figures: Column,
-) -> DataFrame:
-    """Interpolated quantiles per group, exact for groups of any size, and further `figures`.
-
-    Groups up to `group_limit` rows use the built-in exact aggregate, which holds a group's values
-    in one task.  Larger groups are never gathered: see `_large_groups`.  A count of the groups, run
-    here and now, tells whether there are any; without them one grouping is all there is to do.
-    """
-    keys = list(keys)
-    sizes = df.groupBy(*keys, slice_of(*keys)).agg(F.count("*").alias("n")).drop("_slice")
-    large = sizes.filter(F.col("n") > group_limit)
-
-    def grouped(rows: DataFrame, values: Column) -> DataFrame:
-        # All quantiles in one aggregate share one buffer.
-        shares = F.array(*(F.lit(q) for q in quantiles.values()))
-        found = rows.groupBy(*keys).agg(*figures, F.percentile(values, shares).alias("_found"))
-        named = (F.col("_found")[i].alias(name) for i, name in enumerate(quantiles))
-        return found.select("*", *named).drop("_found")
-
-    if large.isEmpty():
-        return grouped(df, F.col(value))
-    small_only = F.when(F.col("n").isNull(), F.col(value))
-    all_groups = grouped(df.join(large, keys, "left"), small_only).alias("a")
-    narrowed = _large_groups(df, large, keys, value, quantiles).alias("b")
-    others = [c for c in all_groups.columns if c not in quantiles and c not in keys]
-    return all_groups.join(narrowed, keys, "left").select(
-        *keys, *others, *(F.coalesce(f"a.{n}", f"b.{n}").alias(n) for n in quantiles)
-    )
-
-
-def _large_groups(
-    df: DataFrame,
-    large: DataFrame,
-    keys: list[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    accuracy: int = 100_000,
+    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], *figures: Column
 ) -> DataFrame:
-    """Quantiles by narrowing: bracket, count, rank only what lies in the bracket.
+    """Interpolated quantiles per group, exact, and further `figures`, in one grouping.
 
-    A mergeable sketch gives each quantile a bracket [low, high] whose rank error is known (n /
-    accuracy), so the wanted neighbours lie inside.  One more pass counts the values below the
-    bracket and the copies of each value inside it, and a running count over those few finds the
-    neighbours.  Repeated values count once.
+    The built-in aggregate counts equal values before the shuffle, so what a task holds of a group
+    is its distinct values, however many rows it has; the daily readings of one sensor have few.
     """
-    rows = df.join(large, keys)
-    slack = 4.0 / accuracy
-    names, shares = list(quantiles), list(quantiles.values())
-    cuts = [c for q in shares for c in (max(q - slack, 0.0), min(q + slack, 1.0))]
-    sketch = rows.groupBy(*keys, slice_of(*keys)).agg(
-        F.first("n").alias("n"),
-        F.percentile_approx(value, cuts, accuracy).alias("cuts"),
-        F.min(value).alias("smallest"),
-        F.max(value).alias("largest"),
-    )
-
-    def bracket(i: int, q: float) -> Column:
-        position = (F.col("n") - 1) * F.lit(q)
-        low = F.col("smallest") if q - slack <= 0 else F.col("cuts")[2 * i]
-        high = F.col("largest") if q + slack >= 1 else F.col("cuts")[2 * i + 1]
-        return F.struct(
-            F.lit(names[i]).alias("name"), position.alias("position"),
-            low.alias("low"), high.alias("high"),
-        )
-
-    brackets = sketch.select(
-        *keys, F.array(*(bracket(i, q) for i, q in enumerate(shares))).alias("brackets")
-    )
-    # Equal values are merged before they meet the brackets.
-    counted = rows.groupBy(*keys, value).agg(F.count("*").alias("copies"))
-    placed = counted.join(brackets, keys)
-    below = [
-        F.sum(F.when(F.col(value) < F.col("brackets")[i]["low"], F.col("copies")).otherwise(0))
-        .alias(f"below_{i}")
-        for i in range(len(names))
-    ]
-    under = placed.groupBy(*keys).agg(*below).select(
-        *keys, F.posexplode(F.array(*(f"below_{i}" for i in range(len(names))))).alias("i", "below")
-    )
-    inside = placed.select(
-        *keys, F.col(value).alias("value"), "copies", F.posexplode("brackets").alias("i", "b")
-    ).filter(F.col("value").between(F.col("b.low"), F.col("b.high")))
-    through = Window.partitionBy(*keys, "i").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = inside.withColumn("upto", F.sum("copies").over(through)).join(under, [*keys, "i"])
-    # `value` holds the 0-based ranks below + upto - copies .. below + upto - 1.
-    first = F.col("below") + F.col("upto") - F.col("copies")
-    last = F.col("below") + F.col("upto") - 1
-    floor, ceil = F.floor("b.position"), F.ceil("b.position")
-    pair = ranked.groupBy(*keys, "i").agg(
-        F.first("b.name").alias("name"),
-        F.first("b.position").alias("position"),
-        F.max(F.when(floor.between(first, last), F.col("value"))).alias("lower"),
-        F.max(F.when(ceil.between(first, last), F.col("value"))).alias("upper"),
-    )
-    share = F.col("position") - F.floor("position")
-    missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-    between = F.coalesce(
-        (1 - share) * F.col("lower") + share * F.col("upper"), missed
-    )
-    found = pair.withColumn("found", between)
-    return found.groupBy(*keys).agg(*(
-        F.max(F.when(F.col("name") == name, F.col("found"))).alias(name) for name in names
-    ))
+    # All quantiles in one aggregate share one buffer.
+    shares = F.array(*(F.lit(q) for q in quantiles.values()))
+    found = df.groupBy(*keys).agg(*figures, F.percentile(value, shares).alias("_found"))
+    named = (F.col("_found")[i].alias(name) for i, name in enumerate(quantiles))
+    return found.select("*", *named).drop("_found")

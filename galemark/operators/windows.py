@@ -152,14 +152,23 @@ def latest_per_key(df: DataFrame, key: Sequence[str], newest: Sequence[str]) ->
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key, the largest by its other columns, for use as the looked-up side of a join.
+def one_per_key(df: DataFrame, key: str, newest: Sequence[str] = ()) -> DataFrame:
+    """One row per key, the newest by the columns `newest`, for the looked-up side of a join.
 
-    Copies of a key are dropped on the map side, so a join never pairs copies with copies.
+    Rows equal in these (all rows of a key, if none are named) are settled by the largest values of
+    the other columns, in their order.  Copies of a key are dropped on the map side, so a join never
+    pairs copies with copies.
     """
-    rest = [c for c in df.columns if c != key]
-    kept = df.groupBy(key, slice_of(key)).agg(F.max(F.struct(*rest)).alias("kept"))
-    return kept.select(key, "kept.*")
+    rest = [c for c in df.columns if c != key and c not in newest]
+    kept = df.groupBy(key, slice_of(key)).agg(F.max(F.struct(*newest, *rest)).alias("kept"))
+    return kept.select(key, "kept.*").select(*df.columns)
+
+
+def agreed_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key whose rows are all equal; keys with conflicting rows are left out."""
+    rest = F.struct(*(c for c in df.columns if c != key))
+    kept = df.groupBy(key, slice_of(key)).agg(F.min(rest).alias("kept"), F.max(rest).alias("other"))
+    return kept.filter(F.col("kept").eqNullSafe(F.col("other"))).select(key, "kept.*").select(*df.columns)
 
 
 def upsert(current: DataFrame, updates: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:

@@ -16,13 +16,12 @@ from galemark.operators import clean, enrich, shape
 from galemark.operators.aggregate import cycle_throughput
 from galemark.operators.daily import daily_aggregates
 from galemark.sources import envelope as env
-from galemark.sources.tables import spread
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 # Terms and places looked for in the given texts; both lists also hold the default entries.
-TERMS = (*fv.SEARCH_TERMS, "Thou", "nicht", "heat", "Para")
-REGIONS = (*fv.PLACES, "Erre", "Hand", "Sand", "Rest")
+TERMS = (*fv.SEARCH_TERMS, "Then", "that", "lean", "Keit")
+REGIONS = (*fv.PLACES, "Anes", "Edin", "Lean", "Teen")
 POST_KEYWORDS = ("thou", "Nicht", "para")
 
 
@@ -39,22 +38,17 @@ class Inputs:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return spread(self.table("documents"))
+        return self.table("documents")
 
     @cached_property
     def pages(self) -> DataFrame:
-        return spread(self.table("pages"))
+        return self.table("pages")
 
     @cached_property
     def events(self) -> DataFrame:
         k = F.get_json_object("props", "$.k").cast("int")
         return self.table("events").withColumn("k", k)
 
-    @cached_property
-    def text_events(self) -> DataFrame:
-        """Events that are about to be written or read as JSON text."""
-        return spread(self.events)
-
     # Messages as their producers write them.
 
     @cached_property
@@ -128,8 +122,8 @@ class Inputs:
 
     @cached_property
     def forum_posts_raw(self) -> DataFrame:
-        """Opening posts of users; threads that begin otherwise have comments but no post."""
-        opening = self.table("conversations").filter("turn = 0 AND role = 'user'")
+        """Every opening turn."""
+        opening = self.table("conversations").filter("turn = 0")
         return opening.select(
             F.col("conv_id").cast("string").alias("id"),
             F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
@@ -145,7 +139,9 @@ class Inputs:
 
     @cached_property
     def forum_comments_raw(self) -> DataFrame:
+        """Every later turn; those of each 13th thread name a post that does not exist."""
         replies = self.table("conversations").filter("turn > 0")
+        link = F.expr("CASE WHEN conv_id % 13 = 0 THEN concat('t3_x', conv_id) ELSE concat('t3_', conv_id) END")
         return replies.select(
             F.expr("concat(conv_id, '-', turn)").alias("id"),
             F.expr("concat('t1_', conv_id, '-', turn)").alias("name"),
@@ -157,7 +153,7 @@ class Inputs:
             F.lit(False).alias("over_18"),
             F.expr("1704067200D + conv_id * 3600 + turn * 60 + 0.25D").alias("timestamp"),
             F.expr("concat('/r/', conv_id, '/', turn)").alias("permalink"),
-            parent_id(F.expr("concat('t3_', conv_id)")).alias("post_id"),
+            parent_id(link).alias("post_id"),
         ).withColumn("at", F.timestamp_seconds("timestamp"))
 
     @cached_property
@@ -201,7 +197,7 @@ class Inputs:
     @cached_property
     def log_lines(self) -> DataFrame:
         """One JSON object per record, plus records of a component that no panel shows."""
-        shown = self._log_rows(self.text_events)
+        shown = self._log_rows(self.events)
         rows = shown.unionByName(shown.withColumn("component", F.lit("x_ingest")))
         return rows.select(F.to_json(F.struct(*(c for c in rows.columns if c != "ts"))).alias("value"))
 
@@ -210,8 +206,8 @@ class Inputs:
     def messages(self, topic: str) -> DataFrame:
         """The messages of one topic."""
         rows, key = {
-            fv.WEATHER_TOPIC: lambda: (self._weather_rows(self.text_events), "location"),
-            fv.AIR_TOPIC: lambda: (self._air_rows(self.text_events), "location"),
+            fv.WEATHER_TOPIC: lambda: (self._weather_rows(self.events), "location"),
+            fv.AIR_TOPIC: lambda: (self._air_rows(self.events), "location"),
             fv.VIDEO_TOPIC: lambda: (self.social_raw, "id"),
             fv.SENTIMENT_TOPIC: lambda: (self.sentiment_raw, "post_id"),
             fv.POSTS_TOPIC: lambda: (self.forum_posts_raw, "id"),
@@ -355,7 +351,7 @@ class Inputs:
             f"'datetimeFrom', named_struct('utc', date_format(ts, \"{ISO}\"))))"
         )
         bare = F.struct((F.col("value") / 2).alias("value"))
-        return self.text_events.select(F.format_string(
+        return self.events.select(F.format_string(
             '{"sensor_id":%d,"results":[%s,%s]}', "user_id", F.to_json(full), F.to_json(bare)
         ).alias("value"))
 
@@ -369,7 +365,7 @@ class Inputs:
             "'longitude', -71.25D, 'source', 'station')"
         )
         entries = f"array({entry.format(value='value')}, {entry.format(value='value + 1')})"
-        return self.text_events.select(F.to_json(F.struct(
+        return self.events.select(F.to_json(F.struct(
             F.lit("Boston").alias("city"),
             F.lit("42.3601,-71.0589").alias("coordinates"),
             _iso().alias("timestamp_utc"),
@@ -388,7 +384,7 @@ class Inputs:
             "'weathercode', array(event_id % 100, event_id % 50, event_id % 25), "
             "'windspeed_10m', array(value / 8, value / 4, value / 2))"
         )
-        return self.text_events.select(F.to_json(F.struct(
+        return self.events.select(F.to_json(F.struct(
             F.concat(F.lit("station "), F.col("user_id")).alias("location"),
             _iso().alias("timestamp_utc"),
             hourly.alias("hourly"),

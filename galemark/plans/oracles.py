@@ -86,7 +86,8 @@ VIEWS = {
                     WHEN 'Unhealthy for Sensitive Groups' THEN 2 WHEN 'Unhealthy' THEN 3
                     WHEN 'Very Unhealthy' THEN 4 ELSE -1 END)::INTEGER AS health_risk_level,
                CASE WHEN a.value IS NULL THEN NULL ELSE (
-                   SELECT max(ilo + (least(greatest(a.value, 0), hi) - lo) * (ihi - ilo)
+                   SELECT max(ilo + (CASE WHEN ihi = 300 THEN greatest(a.value, 0)
+                              ELSE least(greatest(a.value, 0), hi) END - lo) * (ihi - ilo)
                               / (hi - lo)::DOUBLE)
                    FROM bands
                    WHERE pollutant = a.parameter_normalized
@@ -115,14 +116,18 @@ VIEWS = {
     "posts_tagged": """
         SELECT *,
                list_filter(['climate change', 'global warming', 'air pollution', 'heat wave',
-                   'environment', 'Thou', 'nicht', 'heat', 'Para'],
-                   lambda w: contains(said, lower(w))) AS keywords,
+                   'environment', 'Then', 'that', 'lean', 'Keit'],
+                   lambda w: list_contains(regexp_extract_all(said,
+                       '\\b(climate change|global warming|air pollution|heat wave|environment|then|that|lean|keit)\\b'),
+                       lower(w))) AS keywords,
                list_filter(['Allston', 'Back Bay', 'Beacon Hill', 'Brighton', 'Charlestown',
                    'Chinatown', 'Dorchester', 'Downtown', 'East Boston', 'Fenway', 'Hyde Park',
                    'Jamaica Plain', 'Mattapan', 'Mission Hill', 'North End', 'Roslindale',
-                   'Roxbury', 'South Boston', 'South End', 'West End', 'West Roxbury', 'Erre',
-                   'Hand', 'Sand', 'Rest'], lambda w: contains(said, lower(w)))
-                   AS regions_detected
+                   'Roxbury', 'South Boston', 'South End', 'West End', 'West Roxbury', 'Anes',
+                   'Edin', 'Lean', 'Teen'],
+                   lambda w: list_contains(regexp_extract_all(said,
+                       '\\b(west roxbury|allston|back bay|beacon hill|brighton|charlestown|chinatown|dorchester|downtown|east boston|fenway|hyde park|jamaica plain|mattapan|mission hill|north end|roslindale|roxbury|south boston|south end|west end|anes|edin|lean|teen)\\b'),
+                       lower(w))) AS regions_detected
         FROM posts""",
     "sentiment_raw": """
         SELECT doc_id::VARCHAR AS post_id,
@@ -151,7 +156,7 @@ VIEWS = {
                1704067200::DOUBLE + conv_id * 3600 + 0.5::DOUBLE AS "timestamp",
                make_timestamp(1704067200000000 + conv_id * 3600000000 + 500000) AS event_time,
                '/r/' || conv_id AS permalink
-        FROM conversations WHERE turn = 0 AND role = 'user'""",
+        FROM conversations WHERE turn = 0""",
     "forum_comments": """
         SELECT conv_id || '-' || turn AS id, 't1_' || conv_id || '-' || turn AS name,
                role AS author, text AS body, 'r' || (conv_id % 4) AS subreddit,
@@ -159,7 +164,8 @@ VIEWS = {
                1704067200::DOUBLE + conv_id * 3600 + turn * 60 + 0.25::DOUBLE AS "timestamp",
                make_timestamp(1704067200000000 + conv_id * 3600000000 + turn * 60000000 + 250000)
                    AS event_time,
-               '/r/' || conv_id || '/' || turn AS permalink, conv_id::VARCHAR AS post_id
+               '/r/' || conv_id || '/' || turn AS permalink,
+               CASE WHEN conv_id % 13 = 0 THEN 'x' || conv_id ELSE conv_id::VARCHAR END AS post_id
         FROM conversations WHERE turn > 0""",
     "short_posts": """
         SELECT 'x' || doc_id AS id, replace(text, '. ', '. #') AS text, 'x' AS platform
@@ -306,12 +312,13 @@ def oracle(name: str, query: str) -> None:
 # Sources.
 
 oracle("demux_count", """
+    SELECT * FROM (
     SELECT 'weather_raw' AS topic, count(*) AS messages FROM weather_raw
     UNION ALL SELECT 'air_raw', count(*) FROM air_raw
     UNION ALL SELECT 'youtube_raw', count(*) FROM social
     UNION ALL SELECT 'sentiment_scored', count(*) FROM sentiment_raw
     UNION ALL SELECT 'reddit_posts', count(*) FROM forum_posts
-    UNION ALL SELECT 'reddit_comments', count(*) FROM forum_comments""")
+    UNION ALL SELECT 'reddit_comments', count(*) FROM forum_comments) WHERE messages > 0""")
 oracle("parse_weather", """
     SELECT location, strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp_utc, temperature,
            humidity, precipitation, weather_code, wind_speed, event_time AS kafka_timestamp,
@@ -685,11 +692,11 @@ oracle("daily_latest", f"""
     SELECT {_DAILY} FROM daily ORDER BY date DESC LIMIT 14""")
 oracle("search_keywords", f"""
     SELECT {_POST} FROM posts_tagged
-    WHERE list_has_any(list_transform(keywords, lambda w: lower(w)), ['climate change', 'nicht', 'para'])
+    WHERE list_has_any(list_transform(keywords, lambda w: lower(w)), ['climate change', 'that', 'lean'])
     ORDER BY event_time_utc DESC, post_id LIMIT 50""")
 oracle("search_region", f"""
     SELECT {_POST} FROM posts_tagged
-    WHERE list_contains(list_transform(regions_detected, lambda w: lower(w)), 'hand')
+    WHERE list_contains(list_transform(regions_detected, lambda w: lower(w)), 'edin')
     ORDER BY event_time_utc DESC, post_id LIMIT 50""")
 oracle("recent_posts_sentiment", """
     SELECT p.event_time_utc, p.body_normalized, p.source, s.sentiment_label,

@@ -76,13 +76,8 @@ def flat_window(df: DataFrame) -> DataFrame:
 
 @register
 def demux_count(t: Inputs) -> DataFrame:
-    """Messages per topic, with the size of their values."""
-    parts = [
-        env.demux(t.envelope, topic).agg(F.count("*").alias("messages"))
-        .select(F.lit(topic).alias("topic"), "messages")
-        for topic in fv.ALL_TOPICS
-    ]
-    return shape.union_sources(*parts)
+    """Messages of each topic that has any."""
+    return t.envelope.groupBy("topic").agg(F.count("*").alias("messages"))
 
 
 @register
@@ -603,19 +598,19 @@ def daily_latest(t: Inputs) -> DataFrame:
 
 @register
 def search_keywords(t: Inputs) -> DataFrame:
-    return serve.search_keywords(t.posts, "climate change, NICHT ,para", 50)
+    return serve.search_keywords(t.posts, "climate change, THAT ,lean", 50)
 
 
 @register
 def search_region(t: Inputs) -> DataFrame:
-    return serve.search_region(t.posts, "hAND", 50)
+    return serve.search_region(t.posts, "eDIN", 50)
 
 
 @register
 def recent_posts_sentiment(t: Inputs) -> DataFrame:
-    scores = t.sentiment.select("post_id", "sentiment_label", "sentiment_confidence_pct")
+    scores = windows.one_per_key(t.sentiment, "post_id", ["event_time_utc"])
     posts = t.untagged_posts.select("post_id", "event_time_utc", "body_normalized", "source")
-    scored = posts.join(scores, "post_id")
+    scored = posts.join(scores.select("post_id", "sentiment_label", "sentiment_confidence_pct"), "post_id")
     return serve.recent_posts_with_sentiment(scored)
 
 

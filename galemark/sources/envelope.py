@@ -14,6 +14,9 @@ from galemark.functions.jsons import expand
 
 CORRUPT = "_corrupt_record"
 
+#: First and last second of the years 1 to 9999.
+EPOCH_SECONDS = (-62135596800, 253402300799)
+
 
 def kafka_envelope(
     spark: SparkSession,
@@ -80,13 +83,14 @@ def iso_time(name: str = "timestamp_utc") -> Callable[[], Column]:
 
 
 def epoch_millis(name: str = "timestamp") -> Callable[[], Column]:
-    """Event time written as epoch milliseconds."""
-    return lambda: F.timestamp_millis(F.col(name))
+    """Event time written as epoch milliseconds; null outside the years 1 to 9999."""
+    low, high = EPOCH_SECONDS
+    return lambda: F.timestamp_millis(F.when(F.col(name).between(low * 1000, high * 1000 + 999), F.col(name)))
 
 
 def epoch_seconds(name: str = "timestamp") -> Callable[[], Column]:
-    """Event time written as (fractional) epoch seconds."""
-    return lambda: F.timestamp_seconds(F.col(name))
+    """Event time written as (fractional) epoch seconds; null outside the years 1 to 9999."""
+    return lambda: F.timestamp_seconds(F.when(F.col(name).between(*EPOCH_SECONDS), F.col(name)))
 
 
 def parse(

@@ -49,24 +49,17 @@ def cassandra_table(spark: SparkSession, keyspace: str, table: str) -> DataFrame
     return reader.options(keyspace=keyspace, table=table).load()
 
 
-def path_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A parquet table, or None where it cannot be read."""
+def path_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """A parquet table, or None where the path does not exist; any other failure is raised."""
+    reader = spark.read.schema(schema) if schema else spark.read
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for costly text work on a scan that has fewer partitions than cores.
-
-    A file of one row group is read by one task, whatever its size.  Inputs with enough partitions,
-    and so all large ones, are left as they are and pay no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """One row per table with its row count; 0 where the table cannot be read (None)."""
     counted = [

@@ -1,6 +1,6 @@
 """Sinks for streams and the keyed table they write.
 
-A keyed table is a folder with one subfolder per micro-batch (`epoch=N`).  A batch only adds its own
+A keyed table is a folder with one subfolder per query and micro-batch (`run=.../epoch=N`).  A batch only adds its own
 rows, and a replayed batch overwrites its own folder, so nothing is read or rewritten on the way in.
 `read_keyed` keeps the newest row per key; `compact_keyed` writes that state to a new folder.
 """
@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
-from pyspark.sql.utils import AnalysisException
 
-from galemark.operators.windows import latest_per_key, upsert
+from galemark.operators.windows import latest_per_key
 from galemark.session import checkpoint_root
+from galemark.sources.tables import path_or_none
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -69,7 +69,11 @@ def keyed_writer(path: str, key: Sequence[str], newest: Sequence[str]) -> BatchW
 
     def write(batch: DataFrame, epoch: int) -> None:
         rows = latest_per_key(batch, key, newest)
-        rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        # The query's id lives in its checkpoint: a new checkpoint, whose epochs begin at 0 again,
+        # gets folders of its own.
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        written = rows.withColumn("written_at", F.current_timestamp())
+        written.write.mode("overwrite").parquet(f"{path}/run={run}/epoch={epoch}")
 
     return write
 
@@ -105,53 +109,17 @@ def read_keyed(
     spark: SparkSession, path: str, schema: str, key: Sequence[str], newest: Sequence[str]
 ) -> DataFrame:
     """The newest row per key of a keyed table; later batches win ties.  Empty before any write."""
-    try:
-        rows = spark.read.schema(f"{schema}, epoch bigint").parquet(path)
-    except AnalysisException:
-        rows = spark.createDataFrame([], f"{schema}, epoch bigint")
-    return latest_per_key(rows, key, [*newest, "epoch"]).drop("epoch")
+    stored = f"{schema}, written_at timestamp, run string, epoch bigint"
+    rows = path_or_none(spark, path, stored)
+    if rows is None:
+        rows = spark.createDataFrame([], stored)
+    order = ["written_at", "epoch", "run"]
+    return latest_per_key(rows, key, [*newest, *order]).drop(*order)
 
 
 def compact_keyed(
     spark: SparkSession, path: str, to: str, schema: str, key: Sequence[str], newest: Sequence[str]
 ) -> None:
     """Write the current state of a keyed table as the first batch of the new table `to`."""
-    read_keyed(spark, path, schema, key, newest).write.mode("overwrite").parquet(f"{to}/epoch=-1")
-
-
-def merge_partitions(
-    spark: SparkSession,
-    path: str,
-    updates: DataFrame,
-    key: Sequence[str],
-    newest: Sequence[str],
-    partition_by: Sequence[str],
-    staging: str,
-) -> None:
-    """Upsert into a partitioned parquet table, rewriting only the partitions of the updates.
-
-    The merged partitions are staged first and then swapped in.  A run that stopped during the swap
-    left them in `staging`; the next run swaps them in before it starts.
-    """
-
-    def swap() -> None:
-        staged = spark.read.schema(updates.schema).parquet(staging)
-        target = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        target.partitionBy(*partition_by).parquet(path)
-        empty = spark.createDataFrame([], updates.schema)
-        empty.write.mode("overwrite").parquet(staging)
-
-    try:
-        pending = not spark.read.schema(updates.schema).parquet(staging).isEmpty()
-    except AnalysisException:
-        pending = False
-    if pending:
-        swap()
-    touched = updates.select(*partition_by).distinct()
-    try:
-        current = spark.read.schema(updates.schema).parquet(path)
-    except AnalysisException:
-        current = spark.createDataFrame([], updates.schema)
-    current = current.join(touched, list(partition_by), "left_semi").select(*updates.columns)
-    upsert(current, updates, key, newest).write.mode("overwrite").parquet(staging)
-    swap()
+    state = read_keyed(spark, path, schema, key, newest).withColumn("written_at", F.current_timestamp())
+    state.write.mode("overwrite").parquet(f"{to}/run=compact/epoch=-1")

@@ -89,7 +89,7 @@ def test_spike(spark):
 def test_index_meets_the_steps(spark):
     values = [0.0, 6.0, 12.0, 35.4, 55.4, 150.4, 200.4, 250.4, 999.0, -3.0, None]
     found = one(spark, "v double", values, air.aqi_score(F.lit("pm25"), F.col("v")))
-    assert found[:-1] == pytest.approx([0, 25, 50, 100, 150, 200, 250, 300, 300, 0])
+    assert found[:-1] == pytest.approx([0, 25, 50, 100, 150, 200, 250, 300, 1048.6, 0])
     assert found[-1] is None
     assert one(spark, "v double", [1.0], air.aqi_score(F.lit("no2"), F.col("v"))) == [None]
 
@@ -149,7 +149,10 @@ def test_parent_id(spark):
 def test_terms(spark):
     found = text.terms_in(F.lower("t"), ["Heat Wave", "environment", "smog"])
     texts = ["smog and a HEAT wave", "Environmental", "", None]
-    assert one(spark, "t string", texts, found) == [["Heat Wave", "smog"], ["environment"], [], []]
+    assert one(spark, "t string", texts, found) == [["Heat Wave", "smog"], [], [], []]
+    places = text.terms_in(F.lower("t"), ["Roxbury", "West Roxbury", "Hand"])
+    texts = ["West Roxbury", "roxbury, not West Roxbury", "a thousand"]
+    assert one(spark, "t string", texts, places) == [["West Roxbury"], ["Roxbury", "West Roxbury"], []]
 
 
 def test_city_names(spark):

@@ -219,14 +219,13 @@ def test_stored_table_prunes_folders(spark, tmp_path):
 # Quantiles.
 
 
-@pytest.mark.parametrize("limit", [10, 1_000_000])
-def test_quantiles_equal_numpy(spark, limit):
+def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(3)
     rows = [(1, T0, float(v)) for v in rng.normal(size=700)]
     rows += [(2, T0, float(v)) for v in rng.integers(0, 5, size=900)]
     rows += [(3, T0, float(v)) for v in (1.0, 2.0)] + [(4, T0, 7.0), (5, T0, None)]
     frame = spark.createDataFrame(rows, "sensor_id long, event_time timestamp, value double")
-    found = quantiles.sensor_daily_summary(frame, group_limit=limit).collect()
+    found = quantiles.sensor_daily_summary(frame).collect()
     assert sorted(r["sensor_id"] for r in found) == [1, 2, 3, 4]
     for r in found:
         values = np.array([v for s, _, v in rows if s == r["sensor_id"]])
@@ -471,10 +470,37 @@ def test_reading_takes_one_window(spark):
 def test_copies_on_both_sides_do_not_multiply(spark):
     comments = spark.createDataFrame([("c1", "p"), ("c1", "p"), ("c2", "q")], "id string, post_id string")
     posts = spark.createDataFrame([("p", "t", "a"), ("p", "t", "a"), ("r", "x", None)], "id string, title string, author string")
-    assert sorted(map(tuple, joins.comment_thread(comments, posts).collect())) == [("p", "c1", "t", "a")] * 2
+    assert sorted(map(tuple, joins.comment_thread(comments, posts, []).collect())) == [("p", "c1", "t", "a")] * 2
     assert joins.orphan_comments(comments, posts).count() == 1
     scores = spark.createDataFrame([("p", "positive", 0.5)] * 3, "post_id string, sentiment_label string, sentiment_score double")
-    assert joins.posts_with_sentiment(comments.select("post_id"), scores).count() == 3
+    assert joins.posts_with_sentiment(comments.select("post_id"), scores, []).count() == 3
+
+
+def test_newest_copy_counts(spark):
+    posts = spark.createDataFrame([("p",), ("q",)], "post_id string")
+    scores = spark.createDataFrame(
+        [("p", T0, "positive", 0.1), ("p", T0 + timedelta(hours=1), "negative", 0.9)],
+        "post_id string, event_time_utc timestamp, sentiment_label string, sentiment_score double")
+    found = {r["post_id"]: r["sentiment_label"] for r in joins.posts_with_sentiment(posts, scores).collect()}
+    assert found == {"p": "negative", "q": None}
+    labels = spark.createDataFrame([("p", 0), ("p", 1), ("q", 1), ("q", 1)], "post_id string, label int")
+    kept = classify.training_set(posts.withColumn("text", F.col("post_id")), labels).collect()
+    assert [(r["post_id"], r["label"]) for r in kept] == [("q", 1)]
+
+
+def test_infinite_readings_have_quantiles(spark):
+    rows = [(1, T0, float("inf"))] * 600 + [(1, T0, float(v)) for v in range(401)]
+    frame = spark.createDataFrame(rows, "sensor_id long, event_time timestamp, value double")
+    found = quantiles.sensor_daily_summary(frame).first()
+    assert (found["median"], found["q75"], found["q98"]) == (float("inf"),) * 3
+
+
+def test_times_out_of_range_are_rejects(spark):
+    values = [9223372036854775807, 1704067200000]
+    frame = spark.createDataFrame([(v,) for v in values], "timestamp long")
+    assert [r[0] is None for r in frame.select(env.epoch_millis()()).collect()] == [True, False]
+    seconds = spark.createDataFrame([(1e300,), (float("nan"),), (1704067200.5,)], "timestamp double")
+    assert [r[0] is None for r in seconds.select(env.epoch_seconds()()).collect()] == [True, True, False]
 
 
 def final_plan(df):
@@ -498,7 +524,7 @@ def test_hot_keys_are_split_at_run_time(spark):
             F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 500)).alias("post_id"),
             F.sha2(F.col("id").cast("string"), 256).alias("body"))
         posts = ids.select(F.col("post_id").alias("id"), F.lit("t").alias("title"), F.lit("a").alias("author"))
-        threads = joins.comment_thread(ids, posts)
+        threads = joins.comment_thread(ids, posts, [])
         assert "skew=true" in final_plan(threads) and threads.count() == 40000
         sensors = ids.select(F.col("post_id").alias("sensor_id"), F.lit(1).alias("location_id"))
         assert "skew=true" in final_plan(shape.enrich_sensor(ids.withColumnRenamed("post_id", "sensor_id"), sensors))

@@ -174,26 +174,15 @@ def test_replayed_batch_changes_nothing(spark, folder):
     assert sinks.read_keyed(spark, folder("none"), schema, ["k"], ["at"]).count() == 0
 
 
-def test_merge_rewrites_only_touched_partitions(spark, folder):
-    path, staging, schema = folder("parts"), folder("staging"), "k string, day string, at bigint, v string"
-
-    def merge(data):
-        updates = spark.createDataFrame(data, schema)
-        sinks.merge_partitions(spark, path, updates, ["k", "day"], ["at"], ["day"], staging)
-
-    merge([("a", "d1", 1, "x"), ("b", "d1", 1, "y"), ("a", "d2", 1, "z")])
-    untouched = {f for r in spark.read.parquet(path).filter("day = 'd2'").select(F.input_file_name()).collect() for f in r}
-    merge([("a", "d1", 2, "new"), ("c", "d3", 1, "w"), ("b", "d1", 0, "old")])
-    table = spark.read.schema(schema).parquet(path).select("k", "day", "at", "v")
-    assert rows(table) == [("a", "d1", 2, "new"), ("a", "d2", 1, "z"), ("b", "d1", 1, "y"), ("c", "d3", 1, "w")]
-    now = {f for r in spark.read.parquet(path).filter("day = 'd2'").select(F.input_file_name()).collect() for f in r}
-    assert now == untouched
-
-    # A run that died after staging is completed by the next one.
-    spark.createDataFrame([("a", "d2", 5, "staged")], schema).write.mode("overwrite").parquet(staging)
-    merge([("c", "d3", 2, "w2")])
-    table = spark.read.schema(schema).parquet(path).select("k", "day", "at", "v")
-    assert ("a", "d2", 5, "staged") in rows(table) and ("c", "d3", 2, "w2") in rows(table)
+def test_new_checkpoint_keeps_earlier_batches(spark, folder):
+    path, schema = folder("runs"), "k string, at bigint"
+    for turn, keys in enumerate((["a", "b"], ["c"])):
+        spark.createDataFrame([(k, turn) for k in keys], schema).write.parquet(folder(f"in{turn}"))
+        stream = spark.readStream.schema(schema).parquet(folder(f"in{turn}"))
+        write = sinks.keyed_writer(path, ["k"], ["at"])
+        query = sinks.to_batches(stream, f"run{turn}", write, root=folder(f"check{turn}"), once=True)
+        assert query.awaitTermination(120)
+    assert rows(sinks.read_keyed(spark, path, schema, ["k"], ["at"])) == [("a", 0), ("b", 0), ("c", 1)]
 
 
 def test_fan_out_reads_a_batch_once(spark, folder):
