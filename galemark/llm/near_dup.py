@@ -11,9 +11,9 @@
    the similarity and the union sketch estimates at least half; those sets are read again, whole,
    and compared exactly.  What is linked then needs no more comparison within its component.
 4. Lists whose members are still in different components are compared in a second pass, so no link
-   is lost: lists of one hub make a bucket for each class of sizes that allow the similarity, buckets
-   are cut into blocks of bounded size, and a task compares two blocks by one matrix product.  It returns members that have a likely partner, then,
-   with their whole sets, a forest of exact links: never a row per pair.
+   is lost: lists of one hub make a bucket, buckets are cut into blocks of bounded size, and a task
+   compares two blocks by one matrix product.  It returns, by sketches, members that have a likely
+   partner, then, with their whole sets, a forest of exact links: never a row per pair.
 """
 
 from __future__ import annotations
@@ -152,30 +152,24 @@ def _block_links(posts, found, classes, docs, words, lower, percent, k) -> DataF
     several = bucket.groupBy("hub").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("hub")
     bucket = save(bucket.join(several, "hub"), "open")
 
-    def active(bodies: DataFrame, stage: str) -> DataFrame:
-        return save(_blocks(bodies, percent, k, stage).select("hub", F.col("a").alias("id")).distinct(), "active")
-
-    posted = posts.groupBy("id").agg(F.collect_list("value").alias("body"))
-    likely = active(bucket.join(posted, "id"), "lists")
     sketches = classes.select("id", F.col("sketch").alias("body"))
-    likely = active(bucket.join(likely, ["hub", "id"]).join(sketches, "id"), "sketches")
+    likely = _blocks(bucket, sketches, percent, k, exact=False).select("hub", F.col("a").alias("id")).distinct()
+    likely = save(bucket.join(likely, ["hub", "id"]), "active")
     sets = _whole_sets(likely.select("id").distinct(), docs, words, lower)
-    whole = bucket.join(likely, ["hub", "id"]).join(sets, "id")
-    return save(_blocks(whole, percent, k, "sets").select("a", "b").distinct(), "rest")
+    return save(_blocks(likely, sets, percent, k, exact=True).select("a", "b").distinct(), "rest")
 
 
-def _blocks(rows: DataFrame, percent: int, k: int, stage: str) -> DataFrame:
-    """(hub, a, b) from buckets (hub, id, n, c, body), compared block by block.
+def _blocks(rows: DataFrame, bodies: DataFrame, percent: int, k: int, exact: bool) -> DataFrame:
+    """(hub, a, b) from buckets (hub, id, n, c) and bodies (id, body), compared block by block.
 
-    Bodies are lists (of posted values), sketches or sets.  Of sets, (a, b) are links that join
-    components; else a is a member that may have a partner in another component.
+    Bodies are sketches, or sets if `exact`.  Of sets, (a, b) are links that join components; of
+    sketches, a is a member that may have a partner in another component.
     """
-    exact = stage == "sets"
-    rows = save(rows.select("hub", "id", "n", "c", "body"), "bodies")
     blocks = rows.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    # Blocks are numbered before the bodies come in, so these are dealt out once only.
     dealt = (
-        rows.join(blocks, "hub").withColumn("own", own)
+        rows.join(blocks, "hub").withColumn("own", own).join(bodies, "id")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     )
@@ -203,10 +197,7 @@ def _blocks(rows: DataFrame, percent: int, k: int, stage: str) -> DataFrame:
             if (c[at] == c[start]).all():
                 continue
             part = body.slice(start, end - start)
-            if stage == "lists":
-                values = [x.values.to_numpy() for x in part]
-            else:
-                values = [np.frombuffer(x.as_buffer(), np.uint64) for x in part]
+            values = [np.frombuffer(x.as_buffer(), np.uint64) for x in part]
             left, right = np.flatnonzero(own[at] == i[start]), np.flatnonzero(own[at] == j[start])
             common = _common(values, left, right)
             x, y = n[at][left][:, None], n[at][right][None, :]
@@ -214,7 +205,7 @@ def _blocks(rows: DataFrame, percent: int, k: int, stage: str) -> DataFrame:
                 good = 100 * common >= percent * (x + y - common)
             else:
                 # Half of the union sketch, which has min(k, larger set) values at least.
-                least = 1 if stage == "lists" else np.minimum(k, np.maximum(x, y)) / 2
+                least = np.minimum(k, np.maximum(x, y)) / 2
                 good = (common >= least) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
             good &= c[at][left][:, None] != c[at][right][None, :]
             p, q = np.nonzero(good)
