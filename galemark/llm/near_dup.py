@@ -10,8 +10,8 @@
 3. A list compares its members with a few of them, its hubs, first.  A pair goes on if sizes allow
    the similarity and the union sketch estimates at least half; those sets are read again, whole,
    and compared exactly.  What is linked then needs no more comparison within its component.
-4. Lists whose members are still in different components are compared in a second pass, so no link
-   is lost: lists of one hub make a bucket, buckets are cut into blocks of bounded size, and a task
+4. Pairs without a hub, in lists that hold such members of different components, are compared in a
+   second pass, so no link is lost: lists of one hub make a bucket, buckets are cut into blocks of bounded size, and a task
    compares two blocks by one matrix product.  It returns, by sketches, members that have a likely
    partner, then, with their whole sets, a forest of exact links: never a row per pair.
 """
@@ -60,7 +60,7 @@ def near_duplicates(
     posts = save(_posts(classes, percent, k), "posts")
     near = _hub_links(posts, classes, docs, words, lower, percent, k, hubs)
     found = save(components(near), "components")
-    rest = _block_links(posts, found, classes, docs, words, lower, percent, k)
+    rest = _block_links(posts, found, classes, docs, words, lower, percent, k, hubs)
     found = save(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)), "components")
     return _answer(rows, classes, found)
 
@@ -142,15 +142,21 @@ def _hub_links(posts, classes, docs, words, lower, percent, k, hubs) -> DataFram
     return save(_exact(likely, docs, words, lower, percent), "near")
 
 
-def _block_links(posts, found, classes, docs, words, lower, percent, k) -> DataFrame:
+def _block_links(posts, found, classes, docs, words, lower, percent, k, hubs) -> DataFrame:
     """(a, b): a forest of the links between different components of the first pass."""
-    hub = posts.groupBy("value").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"].alias("hub"))
-    member = posts.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "value", "id", "n", F.coalesce("component", "id").alias("c")
+    # Hubs have met all members of their lists, so only the other members are left to compare.
+    lists = _hubs(posts, hubs).groupBy("value").agg(
+        F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"].alias("hub"),
+        F.collect_list(F.struct("id", "n")).alias("met"),
     )
-    bucket = member.join(hub, "value").select("hub", "id", "n", "c").distinct()
-    several = bucket.groupBy("hub").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("hub")
-    bucket = save(bucket.join(several, "hub"), "open")
+    others = posts.join(lists, "value").filter(~F.array_contains("met", F.struct("id", "n"))).select("value", "hub", "id", "n")
+    member = save(
+        others.join(found.withColumnRenamed("node", "id"), "id", "left")
+        .select("value", "hub", "id", "n", F.coalesce("component", "id").alias("c")),
+        "others",
+    )
+    several = member.groupBy("value").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("value")
+    bucket = save(member.join(several, "value").select("hub", "id", "n", "c").distinct(), "open")
 
     sketches = classes.select("id", F.col("sketch").alias("body"))
     likely = _blocks(bucket, sketches, percent, k, exact=False).select("hub", F.col("a").alias("id")).distinct()
