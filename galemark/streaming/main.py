@@ -52,10 +52,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         weather = env.parse_weather(source(fv.WEATHER_TOPIC))
         means, table = f"{args.out}/weekly_means", f"{args.out}/climate_metrics"
-        started = [
-            jobs.start_weekly_means(weather, means, **options),
-            jobs.start_climate_metrics(weather, means, table, **options),
-        ]
+        started = [jobs.start_weekly_means(weather, means, **options)]
+        if args.once:
+            # The readings take the means as stored, so these come first.
+            started[0].awaitTermination()
+        started.append(jobs.start_climate_metrics(weather, means, table, **options))
     if args.once:
         for query in started:
             query.awaitTermination()

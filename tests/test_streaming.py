@@ -250,5 +250,7 @@ def test_command_line_job(spark, folder, job):
     if job == "tables":
         assert spark.read.parquet(f"{out}/weather").count() == 3
     else:
-        assert jobs.read_climate_metrics(spark, f"{out}/climate_metrics").count() == 3
+        rows = jobs.read_climate_metrics(spark, f"{out}/climate_metrics").collect()
+        mean = sum(r["temperature"] for r in rows) / 3
+        assert len(rows) == 3 and all(abs(r["temp_7d_avg"] - mean) < 1e-9 for r in rows)
         assert jobs.read_weekly_means(spark, f"{out}/weekly_means").count() == 7
