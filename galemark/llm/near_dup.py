@@ -6,7 +6,8 @@
    similarity 0.8 or more share about 0.8 * k of their sketches' values, and at least half of them
    but for a chance below 1e-7 (sets of at most k shingles are their own sketch: no chance at all).
    So two such sketches must meet among the k / 2 + 1 values of each that fewest classes hold
-   (whole small sets: among the last 20 %), and only those are posted to inverted lists.
+   (whole small sets: among the last 20 %, and some more where a partner may have been cut to k
+   values), and only those are posted to inverted lists.
 3. A list compares its members with a few of them, its hubs, first.  A pair goes on if sizes allow
    the similarity and the union sketch estimates at least half; those sets are read again, whole,
    and compared exactly.  What is linked then needs no more comparison within its component.
@@ -118,9 +119,10 @@ def _posts(classes: DataFrame, percent: int, k: int) -> DataFrame:
     # The rarest values come first: those that no other class holds, which the join has dropped,
     # then by the number of holders.
     size = F.least(F.col("n"), F.lit(k))
-    need = F.when(
-        F.col("n") <= k, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    ).otherwise(F.lit(k // 2 + 1))
+    # A whole set shares ceil(p n) values with a partner that is whole too.  Of a partner that is cut to
+    # k values, of at most floor(n / p), up to floor(n / p) - k of the shared ones are not in its sketch.
+    shared = F.least(F.ceil(F.col("n") * percent / 100), F.col("n") + k - F.floor(F.col("n") * 100 / percent))
+    need = F.when(F.col("n") <= k, F.col("n") - shared + 1).otherwise(F.lit(k // 2 + 1))
     ranked = (
         kept.groupBy("id", "n")
         .agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("v"))

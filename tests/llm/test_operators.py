@@ -80,6 +80,17 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, rows, n):
             assert (r.n_shingles, r.component_id) == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
 
 
+def test_near_duplicates_meet_across_the_sketch_size(spark):
+    # Texts alone with their extensions: n words of their own are n - 1 pairs, 60-66 against 72-82.
+    sizes = [(n, m) for n in range(60, 67) for m in range(72, 83) if 100 * n >= 80 * m]
+    rows = []
+    for g, (n, m) in enumerate(sizes * 3):
+        words = [f"g{g}w{x}" for x in range(m + 1)]
+        rows += [(2 * g, " ".join(words[: n + 1]), "s"), (2 * g + 1, " ".join(words), "s")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs(spark, rows), words=2).collect()}
+    assert got == {i + j: (s, i) for i, pair in zip(range(0, len(rows), 2), sizes * 3) for j, s in enumerate(pair)}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(docs(spark, [])).count() == 0
     assert near_dup.drop_near_duplicates(docs(spark, AWKWARD)).columns == docs(spark, []).columns
