@@ -16,8 +16,8 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """(h1, h2, doc_id, key, line_no): the lines on min_sites sites or more, with their first occurrence.
 
     `lines` has the columns of `_lines`.  Sketches merge in partial aggregates, so a line that is
-    everywhere is one row per task.  A sketch decides where it is clearly above or below the
-    threshold; the other lines' sites are counted exactly.
+    everywhere is one row per task.  A sketch decides where it is clearly above the threshold; the
+    other lines' sites are counted exactly, as sites that share registers make a sketch too low.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "key", "line_no")).alias("first")
     spread = save(
@@ -27,9 +27,9 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         "spread",
     )
     margin = NEAR * SKETCH_ERROR
-    # Too many sites for the sketch to be wrong: sure.  Too few: gone.  In between: counted.
+    # Too many sites for the sketch to be wrong: sure.  All others: counted.
     sure = spread.filter(F.col("sites") * (1 - margin) >= min_sites)
-    near = spread.filter((F.col("sites") * (1 - margin) < min_sites) & (F.col("sites") * (1 + margin) >= min_sites))
+    near = spread.filter(F.col("sites") * (1 - margin) < min_sites)
     exact = (
         lines.select("h1", "h2", "site").join(near.select("h1", "h2"), ["h1", "h2"])
         .distinct().groupBy("h1", "h2").agg(F.count("site").alias("exact")).filter(F.col("exact") >= min_sites)

@@ -280,6 +280,14 @@ def test_spread_near_the_threshold_is_exact(spark):
     assert got.count() == 40
 
 
+def test_sites_that_share_a_register_are_counted(spark):
+    # Sites whose hashes start with the same six bits share one of a sketch's 64 registers.
+    names = spark.range(4000).select(F.concat(F.lit("site"), "id").alias("site")).filter(F.shiftrightunsigned(F.xxhash64("site"), 58) == 0)
+    rows = [(i, "shared\nown " + str(i), r.site) for i, r in enumerate(names.orderBy("site").limit(10).collect())]
+    got = line_dedup.remove_boilerplate(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r["__removed"]) for r in got) == [(i, int(i > 0)) for i in range(10)]
+
+
 def test_contamination_equals_containment(spark):
     item = [f"q{i}" for i in range(30)]
     items = spark.createDataFrame([(1, " ".join(item)), (2, "too short"), (3, None), (None, "a b c d e f"), (4, " ".join(item[:6]))], "item_id long, text string")
