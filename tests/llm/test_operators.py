@@ -206,6 +206,23 @@ def test_pii_equals_base_rules(spark):
     assert pii.find(docs(spark, [])).count() == 0
 
 
+def test_pii_selects_planted_loose_cases(spark):
+    draw = np.random.default_rng(8)
+    number = lambda n: "".join(map(str, draw.integers(0, 10, n)))
+    rows, forms = [], ("+1 ({}) 555-{}", "+1 ({})555-{}", "+1 {} 555-{}", "+1-{}-555-{}", "+1 ({}) 555 {}", "+1 {}.555.{}")
+    for i in range(400):
+        phone, host = forms[i % 6].format(number(3), number(4)), f"n{number(3)}"
+        rows.append((i, f"see {phone} or {host}@example{number(2)}.com and id {number(9)} here", "s"))
+    loose = {1000 + i: f"+1 ({number(3)})/555-{number(4)}" if i % 2 else f"n{number(3)} (at) example{number(2)} (dot) com" for i in range(16)}
+    rows += [(i, f"see {span} here", "s") for i, span in loose.items()]
+    got = {r.doc_id: r for r in pii.find(docs(spark, rows)).collect()}
+    # Written-out addresses; the numbers with a format of their own are not selected.
+    for i, span in loose.items():
+        if i % 2 == 0:
+            assert (got[i].n_more, got[i].spans) == (1, f"like_spoken:4:{4 + len(span)}")
+    assert not any(got[i].n_more for i in range(400))  # numbers without a rule that look like nothing
+
+
 def vectors(n, dims=16, seed=5):
     draw = np.random.default_rng(seed)
     x = draw.normal(size=(n, dims)).astype(np.float32)
