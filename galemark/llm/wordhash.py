@@ -53,9 +53,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _block(data: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block(data: np.ndarray, values: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     gap = np.ones(len(data) + 2, bool)
-    np.take(_SPACE, data, out=gap[1:-1])
+    np.take(gaps, data, out=gap[1:-1])
     edge = np.flatnonzero(gap[1:] != gap[:-1])
     starts, ends = edge[::2], edge[1::2]
     value = np.take(values, data)
@@ -66,22 +66,24 @@ def _block(data: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, mix(hashes)
 
 
-def words(data: np.ndarray, values: np.ndarray = EXACT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, values: np.ndarray = EXACT, gaps: np.ndarray = _SPACE,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends (byte offsets, end exclusive) and hashes of all words of a byte array.
 
-    `values` says what counts in a byte.  Memory stays near the result's for any length: blocks are cut
-    at a gap.
+    `values` says what counts in a byte, `gaps` which bytes stand between words.  Memory stays near
+    the result's for any length: blocks are cut at a gap.
     """
     parts, at = [], 0
     while at < len(data):
         to = min(len(data), at + BLOCK)
         while to < len(data):
-            gaps = np.flatnonzero(_SPACE[data[max(at, to - 4096) : to]])
-            if len(gaps):
-                to = max(at, to - 4096) + int(gaps[-1]) + 1
+            found = np.flatnonzero(gaps[data[max(at, to - 4096) : to]])
+            if len(found):
+                to = max(at, to - 4096) + int(found[-1]) + 1
                 break
             to = min(len(data), to + 4096)
-        s, e, h = _block(data[at:to], values)
+        s, e, h = _block(data[at:to], values, gaps)
         parts.append((s + at, e + at, h))
         at = to
     if not parts:
@@ -123,16 +125,23 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         at = to
 
 
-def words_of(column: pa.Array, values: np.ndarray = EXACT):
+def byte_set(members) -> np.ndarray:
+    """Which of the 256 bytes are members, as a table."""
+    table = np.zeros(256, bool)
+    table[list(members)] = True
+    return table
+
+
+def words_of(column: pa.Array, values: np.ndarray = EXACT, gaps: np.ndarray = _SPACE, between: int = 0x20):
     """Words of a string column: data, starts, ends, hashes, and for each row where its words begin.
 
-    A gap byte is put between rows, so that no word spans two of them.
+    A gap byte (`between`) is put between rows, so that no word spans two of them.
     """
     data, offsets = bytes_of(column)
     n = len(offsets) - 1
-    spaced = np.full(len(data) + n, 0x20, np.uint8)
+    spaced = np.full(len(data) + n, between, np.uint8)
     if len(data):
         spaced[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets))] = data
-    starts, ends, hashes = words(spaced, values)
+    starts, ends, hashes = words(spaced, values, gaps)
     first = np.searchsorted(starts, offsets + np.arange(n + 1))
     return spaced, starts, ends, hashes, first
