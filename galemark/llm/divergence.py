@@ -147,7 +147,7 @@ def _share(count: Column, total: Column, terms: Column, unit: int) -> Column:
 
 
 def _gain(p: Column, q: Column) -> Column:
-    return F.call_function("div", (p - q) * (p - q), q)
+    return F.call_function("div", (p - q) * (p - q), F.nullif(q, F.lit(0)))
 
 
 def _pair_sums(frame: pd.DataFrame) -> pd.DataFrame:

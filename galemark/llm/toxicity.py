@@ -28,7 +28,7 @@ TRAIN_DOCUMENTS, FEATURES = 30_000, 4096
 #: so many standard deviations.
 MIN_TEXTS, CLEAR = 5, 5.0
 #: Length of the vectors of terms; rounds, step and shrinkage of their fit.
-FACTORS, ROUNDS, STEP, SHRINK = 4, 120, 0.1, 1e-4
+FACTORS, ROUNDS, STEP, SHRINK = 4, 200, 0.05, 1e-3
 #: A score from which a text is called toxic.
 CUT = 0.7
 _GAP = wordhash.byte_set(b for b in range(128) if not chr(b).isalnum())
