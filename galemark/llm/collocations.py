@@ -26,7 +26,7 @@ LONGEST, MIN_COUNT, TOP = 5, 100, 2000
 #: A phrase in a longer one goes if the longer has this share of its occurrences, in percent.
 ABSORBED = 100
 #: Bytes of text that are worked on at once.
-SLICE = 16 << 20
+SLICE = 4 << 20
 _PIECE = wordhash.byte_set([*b".,;:!?", *range(0x0A, 0x0E)])
 _GAP = _PIECE | wordhash.byte_set([0x20, 0x09])
 

@@ -2,8 +2,8 @@
 
 Texts are cut at white space into chunks, and each task counts the chunks of its documents.  A chunk
 that is common stands in very many documents, but is tokenized once: the globally distinct chunks are
-taken apart into terms, and the terms are joined back to the counts.  What is shuffled is a row per
-distinct chunk and task, never a row per word.
+taken apart into terms, and the terms are joined back to the counts, next to which they are sorted.  What is
+shuffled is a row per distinct chunk and slice of text, never a row per word.
 
 How many documents hold a term cannot be added up from its chunks, as one document may hold several
 of them.  But only whether there are enough matters, and chunks have bounds: all documents of a chunk
@@ -13,6 +13,9 @@ open are settled by counting those documents.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,68 +31,135 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Documents of a language that must hold a term, parts that shares are counted in, ranks of terms.
 MIN_DOCUMENTS, UNIT, RANKS = 3, 1_000_000_000, 200
 #: Bytes of text whose chunks are counted together, and the terms and sources of one block of pairs.
-SLICE, TERM_BLOCK, SOURCE_BLOCK = 32 << 20, 8192, 256
+SLICE, TERM_BLOCK, SOURCE_BLOCK = 20 << 20, 8192, 256
+_WORD = (~wordhash.byte_set([0x20, *range(0x09, 0x0E)])).astype(np.int8)
+
+
+def _chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The white-space chunks of a string column, told apart by their bytes, and the row of each."""
+    data, offsets = wordhash.bytes_of(texts)
+    inside = np.zeros(len(data) + 2, np.int8)
+    np.take(_WORD, data, out=inside[1:-1])
+    body = data[inside[1:-1].view(bool)]
+    # A chunk begins where a byte of one follows a gap or a row's end, and ends likewise.
+    cut = np.zeros(len(data) + 1, bool)
+    cut[offsets] = True
+    before, here = inside[:-1].view(bool), inside[1:].view(bool)
+    starts = np.flatnonzero(here & (~before | cut))
+    ends = np.flatnonzero(before & (~here | cut))
+    row = np.searchsorted(offsets, starts, "right") - 1
+    at = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=at[1:])
+    chunks = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(body))
+    return chunks.dictionary_encode(), row
 
 
 def count_chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(lang, source, chunk, n, docs, low, high) of a batch (number, lang, source, text).
+    """(lang, chunk, docs, low, high, sources, counts) of a batch (number, lang, source, text).
 
-    n counts occurrences, docs documents, low and high are the least and greatest number of these.
-    Chunks are told apart by their bytes.
+    docs counts documents, low and high are the least and greatest number of these; counts are the
+    chunk's occurrences in each of the sources.
     """
     lang, source = (pc.dictionary_encode(batch.column(c)) for c in ("lang", "source"))
-    group = lang.indices.to_numpy().astype(np.int64) * (len(source.dictionary) + 1) + source.indices.to_numpy()
-    # Documents of one group next to each other, by number.
     number = batch.column("number").to_numpy()
-    order = np.lexsort((number, group))
-    group, number = group[order], number[order]
-    texts = batch.column("text").take(pa.array(order))
-    data, starts, ends, _, first = wordhash.words_of(texts)
-    length = ends - starts
-    offsets = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(length, out=offsets[1:])
-    inside = np.zeros(len(data) + 1, np.int8)
-    inside[starts] += 1
-    inside[ends] -= 1
-    body = data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)] if len(data) else data
-    chunks = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(body))
-    chunks = chunks.dictionary_encode()
-    row = np.repeat(np.arange(len(number)), np.diff(first))
-    held, n = np.unique(chunks.indices.to_numpy().astype(np.int64) * len(number) + row, return_counts=True)
-    chunk, row = held // max(len(number), 1), held % max(len(number), 1)
-    # One run per chunk and group; within it, documents ascend.
+    # Documents of one language and source next to each other.
+    order = np.lexsort((source.indices.to_numpy(), lang.indices.to_numpy()))
+    number, lang_of, source_of = number[order], lang.indices.to_numpy()[order], source.indices.to_numpy()[order]
+    chunks, row = _chunks(batch.column("text").take(pa.array(order)))
+    rows = max(len(number), 1)
+    held, n = np.unique(chunks.indices.to_numpy().astype(np.int64) * rows + row, return_counts=True)
+    chunk, row = held // rows, held % rows
     new = np.ones(len(held), bool)
-    new[1:] = (chunk[1:] != chunk[:-1]) | (group[row[1:]] != group[row[:-1]])
+    new[1:] = (chunk[1:] != chunk[:-1]) | (lang_of[row[1:]] != lang_of[row[:-1]])
     at = np.flatnonzero(new)
-    last = np.append(at[1:], len(held))[: len(at)] - 1
-    one = order[row[at]]
+    new[1:] |= source_of[row[1:]] != source_of[row[:-1]]
+    per_source = np.flatnonzero(new)
+    lists = np.append(np.searchsorted(per_source, at), len(per_source)).astype(np.int32)
+    total = np.add.reduceat(n, per_source) if len(at) else n
+    number = number[row]
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("lang").take(pa.array(one)), batch.column("source").take(pa.array(one)),
-            chunks.dictionary.take(pa.array(chunk[at])).cast(pa.string()),
-            pa.array(np.add.reduceat(n, at) if len(at) else n), pa.array(last - at + 1),
-            pa.array(number[row[at]]), pa.array(number[row[last]]),
+            lang.dictionary.take(pa.array(lang_of[row[at]])), chunks.dictionary.take(pa.array(chunk[at])).cast(pa.string()),
+            pa.array(np.diff(at, append=len(held))),
+            *(pa.array(f.reduceat(number, at) if len(at) else number) for f in (np.minimum, np.maximum)),
+            pa.ListArray.from_arrays(lists, source.dictionary.take(pa.array(source_of[row[per_source]]))),
+            pa.ListArray.from_arrays(lists, total),
         ],
-        ["lang", "source", "chunk", "n", "docs", "low", "high"],
+        ["lang", "chunk", "docs", "low", "high", "sources", "counts"],
     )
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    kind = "lang string, source string, chunk string, n long, docs long, low long, high long"
+    """(lang, chunk, source, n, docs, low, high): per source n occurrences, and a row without a source
+    that has the documents of the language, with their least and greatest number."""
+    kind = "lang string, chunk string, docs long, low long, high long, sources array<string>, counts array<long>"
+
+    def joined(parts):
+        return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
     def count(batches):
         waiting, size = [], 0
         for batch in batches:
             for part in wordhash.slices(batch, "text", SLICE):
+                if waiting and size + part.nbytes > SLICE:
+                    yield count_chunks(joined(waiting))
+                    waiting, size = [], 0
                 waiting.append(part)
                 size += part.nbytes
-                if size >= SLICE:
-                    yield count_chunks(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
-                    waiting, size = [], 0
         if waiting:
-            yield count_chunks(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
+            yield count_chunks(joined(waiting))
+
+    counted = docs.withColumn("number", F.monotonically_increasing_id()).mapInArrow(count, kind)
+    no = F.lit(None).cast("long")
+    whole = F.struct(F.lit(None).cast("string").alias("source"), no.alias("n"), "docs", "low", "high")
+    each = F.transform(
+        F.arrays_zip("sources", "counts"),
+        lambda x: F.struct(
+            x["sources"].alias("source"), x["counts"].alias("n"), no.alias("docs"), no.alias("low"), no.alias("high")
+        ),
+    )
+    # Partitioned by chunk alone: what follows per chunk needs no further shuffle.  A chunk that is
+    # everywhere is one row per slice of text and language.
+    return (
+        counted.repartition("chunk").select("lang", "chunk", F.explode(F.concat(F.array(whole), each)).alias("x"))
+        .select("lang", "chunk", "x.*").groupBy("chunk", "lang", "source")
+        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high"))
+    )
+
 
-    return docs.withColumn("number", F.monotonically_increasing_id()).mapInArrow(count, kind)
+def _terms_of_chunks(counted: DataFrame) -> DataFrame:
+    """The rows of `_counted` with the terms of their chunk: (lang, term, source, n, docs, low, high)."""
+    find, lower = re.compile(TERM).findall, str.maketrans(UPPER, LOWER)
+
+    def split(batches):
+        last, found = None, {}
+        for batch in batches:
+            # Rows are sorted by chunk: each is taken apart once, also where batches meet.
+            runs = pc.run_end_encode(batch.column("chunk"))
+            chunks = runs.values.to_pylist()
+            times = np.diff(runs.run_ends.to_numpy(), prepend=0)
+            terms, counts, held = [], [], []
+            for chunk in chunks:
+                if chunk != last:
+                    last, found = chunk, Counter(find(chunk.translate(lower)))
+                terms += found
+                counts += found.values()
+                held.append(len(found))
+            # Row i of the batch has the terms first[i] .. first[i] + size[i] - 1.
+            size = np.repeat(held, times).astype(np.int64)
+            first = np.repeat(np.cumsum(held) - held, times).astype(np.int64)
+            row = np.repeat(np.arange(batch.num_rows), size)
+            which = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+            rest = batch.take(pa.array(row))
+            n = pc.multiply(rest.column("n"), pa.array(np.array(counts, np.int64)[which]))
+            yield pa.RecordBatch.from_arrays(
+                [rest.column("lang"), pa.array(terms, pa.string()).take(pa.array(which)), rest.column("source"), n,
+                 *(rest.column(c) for c in ("docs", "low", "high"))],
+                ["lang", "term", "source", "n", "docs", "low", "high"],
+            )
+
+    kind = "lang string, term string, source string, n long, docs long, low long, high long"
+    return counted.sortWithinPartitions("chunk").mapInArrow(split, kind)
 
 
 def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
@@ -100,43 +170,23 @@ def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[Da
     if min_documents > 3:
         raise ValueError("the documents of a chunk are known one by one up to two of them")
     ship(docs.sparkSession)
-    chunks = save(
-        _counted(docs).groupBy("lang", "source", "chunk").agg(
-            F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high")
-        ),
-        "chunks",
-    )
-    terms = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    parts = (
-        chunks.select("chunk").distinct().select("chunk", F.explode(terms).alias("term"))
-        .groupBy("chunk", "term").agg(F.count("*").alias("times"))
-    )
-    held = save(
-        chunks.join(parts, "chunk").select(
-            "lang", "source", "term", (F.col("n") * F.col("times")).alias("n"), "docs", "low", "high"
-        ),
-        "terms-of-chunks",
-    )
+    held = save(_terms_of_chunks(_counted(docs)), "terms-of-chunks")
     counts = save(
-        held.groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("count"), F.max("docs").alias("least"), F.sum("docs").alias("most")),
-        "term-counts",
-    )
-    # A document has one source: bounds of different sources add up.
-    bounds = counts.groupBy("lang", "term").agg(
-        F.sum("least").alias("least"), F.sum("most").alias("most"), F.sum("count").alias("lang_count")
+        held.filter("source IS NOT NULL").groupBy("lang", "source", "term").agg(F.sum("n").alias("count")), "term-counts"
     )
+    documents = held.filter("source IS NULL").select("lang", "term", "docs", "low", "high")
+    bounds = documents.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
     sure = bounds.filter(F.col("least") >= min_documents)
     # Open ones stand in chunks of one or two documents only.
-    unsure = bounds.filter((F.col("least") < min_documents) & (F.col("most") >= min_documents))
+    unsure = bounds.filter((F.col("least") < min_documents) & (F.col("most") >= min_documents)).select("lang", "term")
     settled = (
-        held.join(unsure.select("lang", "term"), ["lang", "term"], "left_semi")
+        documents.join(unsure, ["lang", "term"], "left_semi")
         .select("lang", "term", F.explode(F.array("low", "high")).alias("number")).distinct()
         .groupBy("lang", "term").agg(F.count("*").alias("documents")).filter(F.col("documents") >= min_documents)
     )
-    columns = ["lang", "term", "lang_count"]
-    kept = sure.select(*columns).union(unsure.join(settled, ["lang", "term"]).select(*columns))
-    return counts.select("lang", "source", "term", "count"), save(kept, "kept-terms")
+    kept = sure.select("lang", "term").union(settled.select("lang", "term"))
+    totals = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
+    return counts, save(totals.join(kept, ["lang", "term"]), "kept-terms")
 
 
 def _share(count: Column, total: Column, terms: Column, unit: int) -> Column:
