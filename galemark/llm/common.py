@@ -38,11 +38,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset, as in tests, a folder of our own."""
+    """The folder in spark.checkpoint.dir; only where that is unset and Spark local, one of our own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         app = spark.sparkContext.applicationId
-        root = _own_folders.setdefault(app, tempfile.mkdtemp(prefix="galemark-"))
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        if app not in _own_folders:
+            _own_folders[app] = tempfile.mkdtemp(prefix="galemark-")
+        root = _own_folders[app]
     return root.rstrip("/")
 
 
@@ -63,6 +67,14 @@ def column(df: DataFrame, name: str, kind: str) -> Column:
     return (df[name] if name in df.columns else F.lit(None)).cast(kind)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name like `name` that no column of df has (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; of a null, none."""
     parts = F.split(F.coalesce(text, F.lit("")), GAPS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galemark.llm.common import column, save, table, text_key
+from galemark.llm.common import column, free_name, save, table, text_key
 
 #: A line on so many distinct sites is boilerplate.
 MIN_SITES = 10
@@ -58,6 +58,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site: str =
     has the first occurrence, so has the other.  All other columns stay as they are.
     """
     text = column(docs, "text", "string")
+    doc, key, gone = (free_name(docs, name) for name in ("doc", "key", "gone"))
     inner = docs.select(
         column(docs, "doc_id", "long").alias("doc_id"), text_key(text).alias("key"),
         column(docs, site, "string").alias("site"), text.alias("text"),
@@ -70,16 +71,15 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site: str =
             ["h1", "h2"],
         )
         .filter(~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")) & (F.col("line_no") == F.col("l"))))
-        .groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
-        .agg(F.collect_set("line_no").alias("__gone"))
+        .groupBy(F.col("doc_id").alias(doc), F.col("key").alias(key))
+        .agg(F.collect_set("line_no").alias(gone))
     )
-    marked = docs.withColumn("__id", column(docs, "doc_id", "long")).withColumn("__text", text_key(text))
-    joined = marked.join(found, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__key")), "left")
+    joined = docs.join(found, column(docs, "doc_id", "long").eqNullSafe(found[doc]) & (text_key(text) == found[key]), "left")
     kept = F.array_join(
-        F.filter(F.split(text, "\n"), lambda line, no: ~F.array_contains(F.col("__gone"), no)), "\n"
+        F.filter(F.split(text, "\n"), lambda line, no: ~F.array_contains(found[gone], no)), "\n"
     )
-    cleaned = F.when(F.col("__gone").isNull(), text).otherwise(kept)
-    removed = F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long")
+    cleaned = F.when(found[gone].isNull(), text).otherwise(kept)
+    removed = F.when(found[gone].isNull(), F.lit(0)).otherwise(F.size(found[gone])).cast("long")
     return joined.select(
         *(cleaned.alias(c) if c == "text" else docs[c] for c in docs.columns), removed.alias("__removed")
     )
@@ -110,8 +110,8 @@ OP8_SQL = f"""
 WITH lines AS (
   SELECT doc_id, source, line_no, line AS raw, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
   FROM (
-    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
-           unnest(range(0, len(string_split(text, chr(10))))) AS line_no
+    SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS line_no
     FROM documents
   )
 ), spread AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from galemark.llm.common import column, n_words, save, ship, table, text_key, words
 
@@ -80,8 +80,11 @@ def best_fit(
     each = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(full - F.when(rest == 0, 1).otherwise(0), F.lit(0)))).alias("piece"))
     size = F.least(F.col("total") - F.col("piece") * capacity, F.lit(capacity))
     each = each.withColumn("n_words", size)
+    # Repeated rows have equal pieces: a running number tells their bins apart.
+    copy = F.row_number().over(Window.partitionBy("doc_id", "key", "piece").orderBy("source", "cluster"))
+    name = F.concat_ws("-", F.lit("full"), F.hex(F.xxhash64("doc_id", "key", "piece")), copy.cast("string"))
     alone = each.filter(F.col("n_words") == capacity).select(
-        F.concat(F.lit("full-"), F.hex(F.xxhash64("doc_id", "key", "piece"))).alias("bin"), F.lit(0).cast("long").alias("place"),
+        name.alias("bin"), F.lit(0).cast("long").alias("place"),
         "doc_id", "piece", "n_words", "source",
     )
     left = each.filter(F.col("n_words") < capacity)

@@ -310,13 +310,73 @@ def test_contamination_equals_containment(spark):
     items = spark.createDataFrame([(1, " ".join(item)), (2, "too short"), (3, None), (None, "a b c d e f"), (4, " ".join(item[:6]))], "item_id long, text string")
     rows = [*AWKWARD, (30, "x " * 9000 + " ".join(item).upper() + " y" * 9000, "s"), (31, " ".join(item[:25]), "s"), (32, " ".join(item[:24]), "s"), (31, " ".join(item[:25]), "s")]
     got = decontaminate.contaminated(docs(spark, rows), items).collect()
-    assert Counter((r.doc_id, r.item_id, r.n_shared) for r in got) == Counter([(30, 1, 26), (31, 1, 21), (30, 4, 2), (31, 4, 2), (32, 4, 2)])
+    assert Counter((r.doc_id, r.item_id, r.n_shared) for r in got) == Counter([
+        (30, 1, 26), (31, 1, 21), (30, 4, 2), (31, 4, 2), (32, 4, 2), (8, None, 2), (9, None, 2),
+    ])
     kept = decontaminate.drop_contaminated(docs(spark, rows), items)
-    assert kept.count() == len(AWKWARD) and kept.columns == docs(spark, []).columns
+    assert kept.count() == len(AWKWARD) - 3 and kept.columns == docs(spark, []).columns
     assert decontaminate.contaminated(docs(spark, []), items).count() == 0
     assert decontaminate.contaminated(docs(spark, rows), items.limit(0)).count() == 0
 
 
+def brute_contamination(rows, items, n=5, contained=0.8):
+    out = Counter()
+    for i, text in set(items):
+        words = (text or "").lower().split()
+        size = min(len(words), n)
+        wanted = {tuple(words[j : j + size]) for j in range(len(words) - size + 1)} if size else set()
+        for doc, body in {(d, t) for d, t, _ in rows}:
+            held = (body or "").lower().split()
+            shared = wanted & {tuple(held[j : j + size]) for j in range(len(held) - size + 1)}
+            if wanted and len(shared) >= contained * len(wanted) - 1e-9:
+                out[doc, i, len(wanted), len(shared)] += 1
+    return out
+
+
+def test_every_item_is_searched(spark):
+    long = " ".join(f"q{i}" for i in range(12))
+    items = [(1, "alpha beta gamma delta"), (1, long), (1, " ".join(f"z{i}" for i in range(20))), (None, "Omega"),
+             (None, long), (None, None), (7, ""), (8, "x y z"), (8, "x y z"), (9, "one two three four five")]
+    rows = [(1, "say ALPHA beta gamma delta now", "a"), (2, "alpha beta delta gamma", "a"), (3, long + " tail", "b"),
+            (4, "omega", None), (None, "x y z", "a"), (6, "x y", "a"), (7, None, "a"), (8, "one two three four five", "b"),
+            (9, "z0 " + long, "b"), (9, "z0 " + long, "b"), (10, " ".join(f"z{i}" for i in range(16)), "c")]
+    frame = docs(spark, rows).withColumn("doc", F.lit(1)).withColumn("key", F.lit(1)).withColumn("gone", F.lit(1))
+    table = spark.createDataFrame(items, "item_id long, text string").withColumn("item", F.lit("own"))
+    got = Counter(tuple(r)[:1] + tuple(r)[2:5] for r in decontaminate.contaminated(frame, table).collect())
+    assert got == brute_contamination(rows, items) and len(got) == 8
+    kept = decontaminate.drop_contaminated(frame, table)
+    assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [2, 6, 7, 10]
+    assert line_dedup.remove_boilerplate(frame).columns == [*frame.columns, "__removed"]
+
+
+def test_full_pieces_of_repeated_rows_have_bins_of_their_own(spark):
+    rows = [(1, "w " * 700, "a"), (1, "w " * 700, "a"), (1, "w " * 700, "b"), (None, "v " * 600, None), (None, "v " * 600, None)]
+    got = packing.best_fit(docs(spark, rows), capacity=300).collect()
+    held = Counter()
+    for r in got:
+        held[r.bin] += r.n_words
+    assert max(held.values()) <= 300 and sum(held.values()) == 3 * 700 + 2 * 600
+
+
+def test_pack_equals_trying_all_bins():
+    draw = np.random.default_rng(9)
+    pieces = [(int(n), int(s), int(c)) for n, s, c in zip(
+        np.sort(draw.integers(1, 90, 400))[::-1], draw.integers(-1, 12, 400), draw.integers(-1, 60, 400))]
+    bins, want = [], []
+    for size, source, cluster in pieces:
+        fits = [
+            (left, b) for b, (left, held) in enumerate(bins) if left >= size
+            and all((source < 0 or source != s) and (cluster < 0 or cluster != c) for _, s, c in held)
+        ]
+        b = min(fits)[1] if fits else len(bins)
+        if not fits:
+            bins.append([100, []])
+        want.append((b, len(bins[b][1])))
+        bins[b][0] -= size
+        bins[b][1].append((size, source, cluster))
+    assert packing.pack(pieces, 100) == want
+
+
 def test_warc_round_trip(spark):
     page = "<p>" + "é" * 60 + "\r\n\r\nWARC/1.1\r\n</p>"
     rows = [(3, "http://a/ x", page, 1), (1, None, page, 1), (2, "u", "short", 1), (4, "u", "short", 1), (5, "u", None, 1), (5, "u", None, 1), (None, "n", page, 1)]
