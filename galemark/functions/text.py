@@ -53,20 +53,40 @@ def mentions_any(texts: Sequence[Column], words: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def terms_in(lowered: Column, terms: Sequence[str]) -> Column:
+def words_in(lowered: Column) -> Column:
+    """The words of lower-case text: runs of letters, digits and underscores; null gives []."""
+    return F.split(F.coalesce(lowered, F.lit("")), r"[^\p{L}\p{Nd}_]+")
+
+
+def terms_in(lowered: Column, terms: Sequence[str], words: Column | None = None) -> Column:
     """The `terms` that stand as whole words in lower-case text, in order; null gives [].
 
     Of terms that overlap in the text the one that begins first counts, then the longest, so "west
-    roxbury" does not name "Roxbury".  One pass over the text finds all of them.
+    roxbury" does not name "Roxbury".  The words of the text (`words`, if known) are looked up in one
+    pass; only a text that has all words of some term of several words is searched for places.
     """
     named = {t.lower(): t for t in reversed(terms)}
-    longest = sorted(named, key=lambda t: (-len(t), t))
-    pattern = r"\b(" + "|".join(map(re.escape, longest)) + r")\b"
-    found = F.regexp_extract_all(F.coalesce(lowered, F.lit("")), F.lit(pattern), 1)
-    # The intersection looks at `found` once; a test per term would search the text for each.
-    wanted = F.array(*(F.lit(t) for t in dict.fromkeys(t.lower() for t in terms)))
     names = F.create_map(*(F.lit(x) for pair in named.items() for x in pair))
-    return F.transform(F.array_intersect(wanted, found), lambda t: F.element_at(names, t))
+    wanted = F.array(*(F.lit(t) for t in dict.fromkeys(t.lower() for t in terms)))
+    parts = {t: re.findall(r"\w+", t) for t in named}
+    several = [p for t, p in parts.items() if p != [t]]
+    known = F.array(*(F.lit(w) for w in dict.fromkeys(w for p in parts.values() for w in p)))
+
+    def found(held: Column) -> Column:
+        if not several:
+            return held
+        longest = sorted(named, key=lambda t: (-len(t), t))
+        pattern = r"\b(" + "|".join(map(re.escape, longest)) + r")\b"
+        placed = F.regexp_extract_all(F.coalesce(lowered, F.lit("")), F.lit(pattern), 1)
+        possible = reduce(lambda a, b: a | b, (
+            reduce(lambda a, b: a & b, (F.array_contains(held, w) for w in p), F.lit(True)) for p in several
+        ))
+        return F.when(possible, placed).otherwise(held)
+
+    # Bound to a lambda variable, so that the words are looked up once.
+    held = F.array(F.array_intersect(known, words_in(lowered) if words is None else words))
+    hits = F.flatten(F.transform(held, lambda h: F.array_intersect(wanted, found(h))))
+    return F.transform(hits, lambda t: F.element_at(names, t))
 
 
 def hashtags(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from galemark import fixed_values as fv
 from galemark.functions import air, social, text, weather
@@ -68,7 +68,7 @@ def classify_by_table(
 
 def tag_posts(
     posts: DataFrame,
-    keywords: Sequence[str] = fv.SEARCH_TERMS,
+    terms: Sequence[str] = fv.SEARCH_TERMS,
     places: Sequence[str] = fv.PLACES,
     columns: Sequence[str] = ("title_normalized", "body_normalized"),
 ) -> DataFrame:
@@ -76,13 +76,30 @@ def tag_posts(
 
     A generator computes them, so they are found once per post and not again in every filter on them.
     """
+    lowered = posts.withColumn("_said", F.lower(F.concat_ws(" ", *columns)))
     said = F.col("_said")
-    tags = F.struct(
-        text.terms_in(said, keywords).alias("keywords"),
-        text.terms_in(said, places).alias("regions_detected"),
+    tags = F.transform(
+        F.array(text.words_in(said)),
+        lambda words: F.struct(
+            text.terms_in(said, terms, words).alias("keywords"),
+            text.terms_in(said, places, words).alias("regions_detected"),
+        ),
     )
-    lowered = posts.withColumn("_said", F.lower(F.concat_ws(" ", *columns)))
-    return lowered.select(*posts.columns, F.inline(F.array(tags)))
+    return lowered.select(*posts.columns, F.inline(tags))
+
+
+def term_postings(tagged: DataFrame) -> DataFrame:
+    """One row per post and term it names: kind ('keyword' or 'place'), term in lower case, time, id.
+
+    Stored in folders by kind and term, of which vocabularies bound the number, a search reads the
+    lists of its terms only.
+    """
+    def named(kind: str, column: str) -> Column:
+        terms = F.array_distinct(text.lower_each(F.coalesce(column, F.array().cast("array<string>"))))
+        return F.transform(terms, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term")))
+
+    each = F.concat(named("keyword", "keywords"), named("place", "regions_detected"))
+    return tagged.select(F.inline(each), "event_time_utc", "post_id")
 
 
 def weather_output(enriched: DataFrame) -> DataFrame:
@@ -106,6 +123,17 @@ def air_output(enriched: DataFrame) -> DataFrame:
     )
 
 
+def air_stored(enriched: DataFrame) -> DataFrame:
+    """Columns of the stored air-quality table with those that are served beside them."""
+    # The columns.
+    served = enriched.select(
+        "city", "event_time_utc", "parameter_normalized",
+        F.col("value_standard_unit").alias("value"), "unit",
+        "aqi_category", "aqi_score", "health_risk_level", "pollution_spike", "ingestion_time",
+    )
+    return served.withColumn("batch_timestamp", F.current_timestamp())
+
+
 def social_output(enriched: DataFrame) -> DataFrame:
     """Columns of the stored posts table."""
     # The columns.

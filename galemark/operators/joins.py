@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from galemark.functions.stats import slice_of
 from galemark.operators.windows import latest_per_key, one_per_key
@@ -24,19 +24,43 @@ def _readings(parsed: DataFrame) -> DataFrame:
     )
 
 
+def last_known(moments: DataFrame, facts: DataFrame, key: str, at: str) -> DataFrame:
+    """Each distinct (key, at) of `moments` with the columns of the newest of `facts` at or before it.
+
+    Moments and facts of a key are put in one order of time, along which the last fact is carried: no
+    pair of a moment and an earlier fact is ever made.  Of facts of one time the largest by their other
+    columns counts; moments without an earlier fact are left out, as are null keys and times.
+    """
+    rest = [c for c in facts.columns if c not in (key, at)]
+    known = facts.groupBy(key, at).agg(F.max(F.struct(*rest)).alias("_fact"))
+    asked = moments.select(key, at).distinct().withColumn("_asked", F.lit(True))
+    both = known.withColumn("_asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
+    # Facts come before moments of the same time; with the slice, a later join can split a hot key.
+    so_far = Window.partitionBy(key, "_slice").orderBy(at, "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.dropna(subset=[key, at]).withColumn("_slice", slice_of(key))
+    carried = both.withColumn("_fact", F.last("_fact", ignorenulls=True).over(so_far))
+    return carried.filter(F.col("_asked") & F.col("_fact").isNotNull()).select(key, at, "_fact.*")
+
+
+def _day_end(time: str) -> Column:
+    return F.date_trunc("day", time) + F.expr("INTERVAL 1 DAY")
+
+
 def with_latest_means(readings: DataFrame, means: DataFrame) -> DataFrame:
-    """Each reading with the newest weekly mean known for its location (null where none).
+    """Each reading with the newest weekly mean of its location that its day completes (null where none).
 
     Joining on the location alone would pair a reading with every window of its location, of which
-    the keyed table keeps one; this goes straight to one row per reading.
+    the keyed table keeps one; this goes straight to one row per reading.  A window counts if it has
+    ended by the end of the reading's day, so one that has hardly begun never does.  Readings ask by
+    day: a location has as many moments as days, however many readings there are.
     """
-    newest = means.groupBy("loc", slice_of("loc")).agg(
-        F.max_by(F.struct("temp_7d_avg", "humidity_7d_avg"), F.col("window.start")).alias("m")
-    ).drop("_slice")
-    left = _readings(readings)
-    return left.join(newest, F.col("location") == F.col("loc"), "left").select(
-        *_METRICS, "m.temp_7d_avg", "m.humidity_7d_avg",
-        F.current_timestamp().alias("ts_ingested"),
+    left = _readings(readings).withColumn("_until", _day_end("window_ts"))
+    ended = means.select(
+        F.col("loc").alias("location"), F.col("window.end").alias("_until"), "temp_7d_avg", "humidity_7d_avg"
+    )
+    newest = last_known(left, ended, "location", "_until")
+    return left.join(newest, ["location", "_until"], "left").select(
+        *_METRICS, "temp_7d_avg", "humidity_7d_avg", F.current_timestamp().alias("ts_ingested"),
     )
 
 
@@ -49,8 +73,7 @@ def climate_metrics(readings: DataFrame, means: DataFrame) -> DataFrame:
     weekly = means.select(
         "loc", F.col("window.end").alias("day_end"), "temp_7d_avg", "humidity_7d_avg"
     )
-    day_end = F.date_trunc("day", "window_ts") + F.expr("INTERVAL 1 DAY")
-    matched = (F.col("location") == F.col("loc")) & (day_end == F.col("day_end"))
+    matched = (F.col("location") == F.col("loc")) & (_day_end("window_ts") == F.col("day_end"))
     return left.join(weekly, matched, "left").select(
         *_METRICS, "temp_7d_avg", "humidity_7d_avg",
         F.current_timestamp().alias("ts_ingested"),

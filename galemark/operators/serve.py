@@ -6,10 +6,13 @@ ordered by an id, or by the row's other columns where there is none, so results
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from galemark import fixed_values as fv
 from galemark.functions.text import city_literal, city_name, lower_each
+from galemark.operators.enrich import tag_posts
 
 # Result columns.
 WEATHER_COLUMNS = (
@@ -46,6 +49,19 @@ def newest(table: DataFrame, limit: int, *ties: str | Column, time: str = "event
     return table.orderBy(F.col(time).desc(), *ties).limit(limit)
 
 
+def newest_whole(table: DataFrame, limit: int, *ties: str, time: str = "event_time_utc") -> DataFrame:
+    """The `limit` newest rows of a wide table.
+
+    They are found by time and ties alone; only then the rows themselves are read, so long texts are
+    neither read nor worked on for the ranking.  At most `limit` keys are sent to every task.
+    """
+    keys = [time, *ties]
+    top = newest(table.select(*keys), limit, *ties, time=time).distinct()
+    top = F.broadcast(top.toDF(*(f"_{k}" for k in keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return newest(table.join(top, reduce(lambda a, b: a & b, same), "left_semi"), limit, *ties, time=time)
+
+
 def iso_times(rows: DataFrame, time: str = "event_time_utc") -> DataFrame:
     """Rows with the time as ISO-8601 text, the form results leave the system in."""
     text = F.date_format(F.col(time), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -89,6 +105,11 @@ def pollution_spikes(air: DataFrame, limit: int = 50, city: str | None = fv.CITY
     return newest(rows, check_limit(limit, 500), *AIR_COLUMNS)
 
 
+def _tagged(posts: DataFrame, tags: dict) -> DataFrame:
+    """Posts with their terms and places; found here, by the vocabularies `tags`, if the table has none."""
+    return posts if {"keywords", "regions_detected"} <= set(posts.columns) else tag_posts(posts, **tags)
+
+
 def _served_posts(posts: DataFrame) -> DataFrame:
     """Post rows with their defaults."""
     none = F.array().cast("array<string>")
@@ -105,11 +126,11 @@ def _served_posts(posts: DataFrame) -> DataFrame:
     )
 
 
-def posts_latest(posts: DataFrame, limit: int = 20, source: str | None = None) -> DataFrame:
-    """Newest posts, of one source if named."""
+def posts_latest(posts: DataFrame, limit: int = 20, source: str | None = None, **tags) -> DataFrame:
+    """Newest posts, of one source if named; posts without tags are tagged after the limit."""
     check_limit(limit)
     rows = posts.filter(F.col("source") == source) if source else posts
-    return _served_posts(newest(rows, limit, "post_id"))
+    return _served_posts(_tagged(newest_whole(rows, limit, "post_id"), tags))
 
 
 def sentiment_latest(sentiment: DataFrame, limit: int = 20, label: str | None = None) -> DataFrame:
@@ -132,29 +153,54 @@ def daily_latest(
     return newest(rows, days, "city", time="date")
 
 
-def search_keywords(posts: DataFrame, keywords: str, limit: int = 20) -> DataFrame:
-    """Newest posts having any of the comma-separated keywords as a whole keyword."""
+def _found(posts: DataFrame, hits: DataFrame, limit: int, tags: dict) -> DataFrame:
+    """The newest posts among hits (event_time_utc, post_id), of which `limit` go to every task.
+
+    Where the posts lie in folders by day, only the days of these hits are read.
+    """
+    top = newest(hits.select("event_time_utc", "post_id").distinct(), limit, "post_id")
+    if "event_date" in posts.columns:
+        top = top.withColumn("event_date", F.to_date("event_time_utc"))
+    rows = posts.join(F.broadcast(top), top.columns, "left_semi")
+    return _served_posts(_tagged(newest(rows, limit, "post_id"), tags))
+
+
+def search_keywords(
+    posts: DataFrame, keywords: str, limit: int = 20, postings: DataFrame | None = None, **tags
+) -> DataFrame:
+    """Newest posts having any of the comma-separated keywords as a whole keyword.
+
+    With `postings` (see `enrich.term_postings`) only the lists of these keywords and the posts that are
+    served are read; else every post is looked at, and tagged if it is not.
+    """
     check_limit(limit)
-    wanted = F.array(*(F.lit(k.strip().lower()) for k in keywords.split(",")))
+    asked = [k.strip().lower() for k in keywords.split(",")]
+    if postings is not None:
+        return _found(posts, postings.filter((F.col("kind") == "keyword") & F.col("term").isin(asked)), limit, tags)
+    tagged = _tagged(posts, tags)
+    wanted = F.array(*map(F.lit, asked))
     hit = F.coalesce(F.arrays_overlap(lower_each(F.col("keywords")), wanted), F.lit(False))
-    return _served_posts(newest(posts.filter(hit), limit, "post_id"))
+    return _served_posts(newest(tagged.filter(hit), limit, "post_id"))
 
 
-def search_region(posts: DataFrame, region: str, limit: int = 20) -> DataFrame:
-    """Newest posts that mention the region, ignoring case."""
+def search_region(
+    posts: DataFrame, region: str, limit: int = 20, postings: DataFrame | None = None, **tags
+) -> DataFrame:
+    """Newest posts that mention the region, ignoring case; `postings` as in `search_keywords`."""
     check_limit(limit)
+    if postings is not None:
+        return _found(posts, postings.filter((F.col("kind") == "place") & (F.col("term") == region.lower())), limit, tags)
+    tagged = _tagged(posts, tags)
     places = lower_each(F.col("regions_detected"))
     hit = F.coalesce(F.array_contains(places, region.lower()), F.lit(False))
-    return _served_posts(newest(posts.filter(hit), limit, "post_id"))
+    return _served_posts(newest(tagged.filter(hit), limit, "post_id"))
 
 
 def recent_posts_with_sentiment(scored: DataFrame, limit: int = 50) -> DataFrame:
     """Newest scored posts, the five columns of the panel."""
-    rows = newest(scored, check_limit(limit, 500), "post_id")
-    return rows.select(
-        "event_time_utc", "body_normalized", "source", "sentiment_label",
-        "sentiment_confidence_pct",
-    )
+    check_limit(limit, 500)
+    columns = ("event_time_utc", "body_normalized", "source", "sentiment_label", "sentiment_confidence_pct")
+    return newest_whole(scored.select("post_id", *columns), limit, "post_id").select(*columns)
 
 
 def temperature_series(

@@ -69,78 +69,81 @@ def trailing_means(
     width: str = "7 days",
     bucket: str = "1 hour",
     counts: str | None = None,
+    part: str | None = None,
 ) -> DataFrame:
     """One row per (key, time) with the means over [time - width, time] of the same key.
 
     A range frame per key would sort a whole key in one task and re-add its frame for every row.
-    Here time is cut into buckets (`width` must be a multiple of `bucket`).  In its bucket a row
-    starts from the sum of the width/bucket buckets before, gains the rows up to its own time and
-    loses those of the oldest bucket that have dropped out; a running sum over (key, bucket) does
-    it, so a task holds two buckets of one key.  `counts` names a column for the number of rows in
-    the window.
+    Here time is cut into buckets and these into parts (`width` must be a multiple of `bucket`, this
+    of `part`, by default a sixtieth of it).  A window is the sum of five pieces: the readings of the
+    newest part up to its time, the parts before in the newest bucket, the buckets between, the parts
+    after the oldest one in the oldest bucket, and the readings of the oldest part that are still in
+    reach.  Nothing is ever subtracted, so infinite and very large values leave with their reading,
+    and a task holds two parts of one key.  `counts` names a column for the number of rows in the
+    window.  Not-a-number makes the means of its windows so; nulls do not count.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    size, reach = seconds(bucket) * MICROS, seconds(width) // seconds(bucket)
-    if seconds(width) % seconds(bucket):
-        raise ValueError(f"{width} is not a multiple of {bucket}")
-
-    # Not-a-number would never leave a running sum again, so such values are counted apart.
-    numbers = {n: f"{n}_number" for n in means}
-    for name, column in means.items():
-        number = F.col(column).cast("double")
-        df = df.withColumn(numbers[name], F.when(~F.isnan(number), number))
-        df = df.withColumn(f"{name}_nan", F.coalesce(F.isnan(number), F.lit(False)))
-    # In the order in which they are used below, so that the three uses share one shuffle.
-    values = []
-    for name in means:
-        values += [*_sums({name: numbers[name]}), F.count_if(f"{name}_nan").alias(f"nan_{name}")]
-    totals = [f"{part}_{n}" for n in means for part in ("sum", "cnt", "nan")]
+    long, short = seconds(bucket), seconds(part) if part else max(seconds(bucket) // 60, 1)
+    if seconds(width) % long or long % short:
+        raise ValueError(f"{width} is not a multiple of {bucket}, or this not of its parts")
+    reach = seconds(width)
+    values, totals = _sums(means), [f"{x}_{n}" for n in means for x in ("sum", "cnt")]
     if counts:
         values.append(F.count("*").alias("cnt_rows"))
         totals.append("cnt_rows")
 
     points = (
         df.filter(F.col(time).isNotNull())
-        .groupBy(*keys, micros(F.col(time)).alias("at"))
-        .agg(*values)
-        .withColumn("bucket", F.floor(F.col("at") / size))
+        .groupBy(*keys, micros(F.col(time)).alias("at")).agg(*values)
+        .withColumn("part", F.floor(F.col("at") / (short * MICROS)))
     )
-    # Sum of the earlier buckets in reach; a key has one row per bucket here.
-    before = Window.partitionBy(*keys).orderBy("bucket").rangeBetween(-reach, -1)
-    opening = (
-        points.groupBy(*keys, "bucket").agg(*(F.sum(t).alias(t) for t in totals))
-        .select(
-            *keys, "bucket", F.lit(None).cast("bigint").alias("at"), F.lit(0).alias("turn"),
-            *(F.coalesce(F.sum(t).over(before), F.lit(0)).alias(t) for t in totals),
-        )
-    )
-    gains = points.select(*keys, "bucket", "at", F.lit(0).alias("turn"), *totals)
-    # A row is still in the window of a reading exactly `width` later, so it leaves after it.
-    losses = points.select(
-        *keys,
-        (F.col("bucket") + reach).alias("bucket"),
-        (F.col("at") + seconds(width) * MICROS).alias("at"),
-        F.lit(1).alias("turn"),
-        *((-F.col(t)).alias(t) for t in totals),
+    added = [F.sum(t).alias(t) for t in totals]
+    parts = points.groupBy(*keys, "part").agg(*added).withColumn("bucket", F.floor(F.col("part") * short / long))
+    # Whole buckets between the oldest and the newest; a key has one row per bucket here.
+    between = Window.partitionBy(*keys).orderBy("bucket").rangeBetween(1 - reach // long, -1)
+    buckets = parts.groupBy(*keys, "bucket").agg(*added).select(
+        *keys, "bucket", *(F.sum(t).over(between).alias(t) for t in totals)
     )
-    run = Window.partitionBy(*keys, "bucket").orderBy(F.col("at").asc_nulls_first(), "turn").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    swept = reduce(DataFrame.unionByName, (opening, gains, losses)).select(
-        *keys, "at", "turn", *(F.sum(t).over(run).alias(t) for t in totals)
-    )
-    def mean(name: str) -> Column:
-        plain = ratio(F.col(f"sum_{name}"), F.col(f"cnt_{name}"))
-        return F.when(F.col(f"nan_{name}") > 0, float("nan")).otherwise(plain).alias(name)
-
-    return swept.filter(F.col("at").isNotNull() & (F.col("turn") == 0)).select(
+    opened = _swept(parts, buckets, [*keys, "bucket"], "part", reach // short, reach // long, totals, whole=True)
+    return _swept(points, opened, [*keys, "part"], "at", reach * MICROS, reach // short, totals).select(
         *keys,
         from_micros(F.col("at")).alias(time),
-        *map(mean, means),
+        *(ratio(F.col(f"sum_{n}"), F.col(f"cnt_{n}")).alias(n) for n in means),
         *([F.col("cnt_rows").alias(counts)] if counts else []),
     )
 
 
+def _swept(
+    rows: DataFrame, opening: DataFrame, group: Sequence[str], at: str, later: int, shift: int,
+    totals: Sequence[str], whole: bool = False,
+) -> DataFrame:
+    """Per row of `rows`: the opening sums of its group, those of the group's rows up to it and those
+    of the rows of `shift` groups before whose place is at least its own less `later`.
+
+    `whole` leaves out rows at just these places (parts, of which only some of the readings count).
+    Null sums are those of no value.
+    """
+    *keys, last = group
+    own = rows.select(*group, at, F.lit(0).alias("turn"), *totals)
+    old = rows.select(
+        *keys, (F.col(last) + shift).alias(last), (F.col(at) + later).alias(at), F.lit(1).alias("turn"), *totals
+    )
+    start = opening.select(*group, F.lit(None).cast("bigint").alias(at), F.lit(0).alias("turn"), *totals)
+    both = own.unionByName(old).unionByName(start)
+    last_row = -1 if whole else Window.currentRow
+    place, turn = F.col(at), F.col("turn")
+    up = Window.partitionBy(*group).orderBy(place.asc_nulls_first(), turn)
+    # Backwards, rows in reach come before the row that reaches them; parts at its own place after it.
+    down = Window.partitionBy(*group).orderBy(place.desc_nulls_last(), turn if whole else turn.desc())
+
+    def total(name: str) -> Column:
+        own_sum = F.sum(F.when(turn == 0, F.col(name))).over(up.rowsBetween(Window.unboundedPreceding, last_row))
+        old_sum = F.sum(F.when(turn == 1, F.col(name))).over(down.rowsBetween(Window.unboundedPreceding, last_row))
+        return (F.coalesce(own_sum, F.lit(0)) + F.coalesce(old_sum, F.lit(0))).alias(name)
+
+    return both.select(*group, at, "turn", *map(total, totals)).filter((turn == 0) & place.isNotNull()).drop("turn")
+
+
 def latest_per_key(df: DataFrame, key: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """The last written row of every key, by the columns `newest` (most significant first).
 

@@ -620,8 +620,10 @@ _READING = "r.location, r.event_time AS window_ts, r.temperature, r.humidity, r.
 oracle("join_avg_7d", f"""
     SELECT {_READING}, w.temp_7d_avg, w.humidity_7d_avg
     FROM weather_raw r
-    LEFT JOIN (SELECT * FROM weekly QUALIFY row_number() OVER (
-        PARTITION BY loc ORDER BY window_start DESC) = 1) w ON r.location = w.loc""")
+    LEFT JOIN weekly w ON r.location = w.loc AND w.window_start + INTERVAL 7 DAY = (
+        SELECT max(e.window_start + INTERVAL 7 DAY) FROM weekly e
+        WHERE e.loc = r.location AND e.window_start + INTERVAL 7 DAY <= date_trunc('day', r.event_time) + INTERVAL 1 DAY)
+    """)
 oracle("climate_metrics", f"""
     SELECT {_READING}, w.temp_7d_avg, w.humidity_7d_avg
     FROM weather_raw r
@@ -698,6 +700,30 @@ oracle("search_region", f"""
     SELECT {_POST} FROM posts_tagged
     WHERE list_contains(list_transform(regions_detected, lambda w: lower(w)), 'edin')
     ORDER BY event_time_utc DESC, post_id LIMIT 50""")
+oracle("term_postings", """
+    SELECT DISTINCT kind, term, event_time_utc, post_id FROM (
+        SELECT 'keyword' AS kind, lower(unnest(keywords)) AS term, event_time_utc, post_id FROM posts_tagged
+        UNION ALL SELECT 'place', lower(unnest(regions_detected)), event_time_utc, post_id FROM posts_tagged)""")
+oracle("search_keywords_postings", f"""
+    SELECT {_POST} FROM posts_tagged
+    WHERE list_has_any(list_transform(keywords, lambda w: lower(w)), ['climate change', 'that', 'lean'])
+    ORDER BY event_time_utc DESC, post_id LIMIT 50""")
+oracle("search_region_postings", f"""
+    SELECT {_POST} FROM posts_tagged
+    WHERE list_contains(list_transform(regions_detected, lambda w: lower(w)), 'edin')
+    ORDER BY event_time_utc DESC, post_id LIMIT 50""")
+oracle("posts_stored_latest", f"""
+    SELECT {_POST} FROM (
+        SELECT * REPLACE ('youtube_raw' AS source,
+            list_filter(keywords, lambda w: w NOT IN ('Then', 'that', 'lean', 'Keit')) AS keywords,
+            list_filter(regions_detected, lambda w: w NOT IN ('Anes', 'Edin', 'Lean', 'Teen')) AS regions_detected)
+        FROM posts_tagged)
+    ORDER BY event_time_utc DESC, post_id LIMIT 30""")
+oracle("air_stored_latest", f"""
+    SELECT {_AIR} FROM air ORDER BY event_time_utc DESC LIMIT 50""")
+oracle("weather_latest_text", f"""
+    SELECT * REPLACE (regexp_replace(strftime(event_time_utc, '%Y-%m-%dT%H:%M:%S.%f'), '\\.000000$', '') AS event_time_utc)
+    FROM (SELECT {_WEATHER} FROM weather ORDER BY event_time_utc DESC LIMIT 50)""")
 oracle("recent_posts_sentiment", """
     SELECT p.event_time_utc, p.body_normalized, p.source, s.sentiment_label,
            s.sentiment_score AS sentiment_confidence_pct

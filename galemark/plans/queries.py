@@ -17,15 +17,17 @@ from galemark.functions import text
 from galemark.operators import (
     aggregate, classify, clean, daily, enrich, joins, logs, quantiles, serve, shape, windows,
 )
-from galemark.plans.inputs import POST_KEYWORDS, Inputs
+from galemark.plans.inputs import POST_KEYWORDS, REGIONS, TERMS, Inputs
 from galemark.session import use_utc
 from galemark.sources import envelope as env, tables
 from galemark.sources.logs import scan_logs
+from galemark.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CLOCK = {"ingestion_time", "batch_timestamp", "ts_ingested", "ingested_at_utc"}
 
 # Parameters of the registered queries.
+VOCABULARY = {"terms": TERMS, "places": REGIONS}
 AS_OF = "2024-01-31 00:00:00"
 SUMMARY_DAYS = 14
 CLASS_LABELS = [f"class_{i:02d}" for i in range(64)]
@@ -576,12 +578,12 @@ def pollution_spikes(t: Inputs) -> DataFrame:
 
 @register
 def posts_latest(t: Inputs) -> DataFrame:
-    return serve.posts_latest(t.posts)
+    return serve.posts_latest(t.untagged_posts, **VOCABULARY)
 
 
 @register
 def posts_latest_source(t: Inputs) -> DataFrame:
-    return serve.posts_latest(t.posts, source="src3")
+    return serve.posts_latest(t.untagged_posts, source="src3", **VOCABULARY)
 
 
 @register
@@ -606,6 +608,39 @@ def search_region(t: Inputs) -> DataFrame:
     return serve.search_region(t.posts, "eDIN", 50)
 
 
+@register
+def term_postings(t: Inputs) -> DataFrame:
+    return enrich.term_postings(t.posts)
+
+
+@register
+def search_keywords_postings(t: Inputs) -> DataFrame:
+    postings = enrich.term_postings(t.posts)
+    return serve.search_keywords(t.untagged_posts, "climate change, THAT ,lean", 50, postings, **VOCABULARY)
+
+
+@register
+def search_region_postings(t: Inputs) -> DataFrame:
+    return serve.search_region(t.untagged_posts, "eDIN", 50, enrich.term_postings(t.posts), **VOCABULARY)
+
+
+@register
+def posts_stored_latest(t: Inputs) -> DataFrame:
+    """The newest rows of the table that the posts job stores."""
+    return serve.posts_latest(jobs.social_table(t.messages(fv.VIDEO_TOPIC)), 30)
+
+
+@register
+def air_stored_latest(t: Inputs) -> DataFrame:
+    """The newest rows of the table that the air-quality job stores."""
+    return rounded(serve.air_latest(jobs.air_table(t.messages(fv.AIR_TOPIC)), 50), 6, "aqi_score")
+
+
+@register
+def weather_latest_text(t: Inputs) -> DataFrame:
+    return serve.iso_times(serve.weather_latest(t.weather, 50))
+
+
 @register
 def recent_posts_sentiment(t: Inputs) -> DataFrame:
     scores = windows.one_per_key(t.sentiment, "post_id", ["event_time_utc"])

@@ -28,6 +28,16 @@ def write_by_city(df: DataFrame, path: str, city: str = "city", time: str = "eve
     )
 
 
+def write_postings(postings: DataFrame, path: str) -> None:
+    """Store term postings under kind=.../term=... folders, newest first inside each file.
+
+    Ranges of (kind, term, time) make the files, so a frequent term is spread over many of them.
+    """
+    place = ("kind", "term", F.col("event_time_utc").desc())
+    rows = postings.repartitionByRange(*place).sortWithinPartitions(*place, "post_id")
+    rows.write.mode("overwrite").partitionBy("kind", "term").parquet(path)
+
+
 def scan_city(table: DataFrame, name: str, city: str = "city") -> DataFrame:
     """All columns of one city's rows.
 

@@ -25,8 +25,8 @@ def weather_table(envelope: DataFrame) -> DataFrame:
 
 
 def air_table(envelope: DataFrame) -> DataFrame:
-    """Stored air-quality rows from messages."""
-    return enrich.air_output(enrich.enrich_air(clean.clean_air(env.parse_air(envelope))))
+    """Stored air-quality rows from messages, with all columns that are served."""
+    return enrich.air_stored(enrich.enrich_air(clean.clean_air(env.parse_air(envelope))))
 
 
 def social_table(envelope: DataFrame) -> DataFrame:
@@ -39,11 +39,18 @@ def sentiment_table(envelope: DataFrame) -> DataFrame:
     return clean.clean_sentiment(env.parse_sentiment(envelope))
 
 
+def post_terms_table(envelope: DataFrame) -> DataFrame:
+    """Which terms and places the posts name, by term: what the searches read."""
+    return enrich.term_postings(enrich.tag_posts(social_table(envelope)))
+
+
 # Result table -> (topic, how its rows are made).  A stream per topic reads that topic only.
 TABLES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "weather": (fv.WEATHER_TOPIC, weather_table),
     "air_quality": (fv.AIR_TOPIC, air_table),
     "social_posts": (fv.VIDEO_TOPIC, social_table),
+    "post_terms": (fv.VIDEO_TOPIC, post_terms_table),
+    "sentiment": (fv.SENTIMENT_TOPIC, sentiment_table),
 }
 
 
@@ -60,11 +67,15 @@ def start_console(
 def start_tables(
     source: Callable[[str], DataFrame], path: str, **options
 ) -> list[StreamingQuery]:
-    """One query per result table, appending to folders by city (if any) and day under `path`."""
+    """One query per result table, appending to folders under `path`: by city (if any) and day, terms by term."""
     started = []
     for name, (topic, make) in TABLES.items():
-        rows = make(source(topic)).withColumn("event_date", F.to_date("event_time_utc"))
-        folders = [c for c in ("city", "event_date") if c in rows.columns]
+        rows = make(source(topic))
+        if "term" in rows.columns:
+            folders = ["kind", "term"]
+        else:
+            rows = rows.withColumn("event_date", F.to_date("event_time_utc"))
+            folders = [c for c in ("city", "event_date") if c in rows.columns]
         started.append(sinks.to_files(
             rows, name, f"{path}/{name}", partition_by=folders, **options
         ))

@@ -185,3 +185,21 @@ def test_distance(spark):
     # One degree of latitude.
     found = one(spark, "lat double", [43.0], geo.distance_km(F.col("lat"), F.lit(-71.0), 42.0, -71.0))
     assert found[0] == pytest.approx(6371 * math.pi / 180)
+
+
+def test_terms_equal_an_alternation(spark):
+    """Looking words up gives what one pattern of all terms gives, overlaps included."""
+    import random
+    import re
+
+    rng = random.Random(3)
+    terms = ["West Roxbury", "Roxbury", "South End", "End", "east end west", "heat", "Heat Wave", "pm2.5", "caf\u00e9"]
+    said = ["west", "roxbury", "south", "end", "east", "heat", "wave", "pm2.5", "pm2", "5", "caf\u00e9", "roxbury_x", "x"]
+    texts = ["".join(rng.choice(said) + rng.choice([" ", "  ", ", ", "\n", "-", "."]) for _ in range(rng.randrange(9))) for _ in range(300)]
+    texts += ["", None, "  "]
+    longest = sorted((t.lower() for t in terms), key=lambda t: (-len(t), t))
+    pattern = re.compile(r"\b(" + "|".join(map(re.escape, longest)) + r")\b")
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in frame.select("t", text.terms_in(F.col("t"), terms).alias("found")).collect():
+        named = set(pattern.findall(row["t"] or ""))
+        assert row["found"] == [t for t in terms if t.lower() in named]

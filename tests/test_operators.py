@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import numpy as np
@@ -170,6 +171,35 @@ def test_trailing_mean_forgets_nan(spark):
         windows.trailing_means(frame, "k", "t", {"m": "v"}, "5 minutes", "2 minutes")
 
 
+def test_trailing_means_with_extreme_values_and_a_hot_hour(spark):
+    rng = random.Random(5)
+    extremes = [float("inf"), float("-inf"), 1e17, -1e17, float("nan"), 0.1, 1e-9, None]
+    rows = [("hot", T0 + timedelta(hours=30, seconds=rng.randrange(3600), microseconds=i), rng.choice([1.0, 0.5, *extremes[4:]])) for i in range(500)]
+    rows += [(rng.choice(["hot", "b"]), T0 + timedelta(minutes=20 * rng.randrange(400)), rng.choice([2.5, *extremes])) for _ in range(300)]
+    frame = spark.createDataFrame(rows, "k string, t timestamp, v double")
+    found = windows.trailing_means(frame, "k", "t", {"m": "v"}, "12 hours", "1 hour", "n").collect()
+    assert len(found) == len({r[:2] for r in rows})
+    for r in found:
+        inside = [v for k, t, v in rows if k == r["k"] and timedelta(0) <= r["t"].replace(tzinfo=timezone.utc) - t <= timedelta(hours=12)]
+        known = [v for v in inside if v is not None]
+        assert r["n"] == len(inside)
+        if not known:
+            assert r["m"] is None
+            continue
+        mean, size = np.sum(known) / len(known), np.sum(np.abs(known)) / len(known)
+        if np.isfinite(size):
+            assert abs(r["m"] - mean) <= 1e-12 * size
+        else:
+            assert str(r["m"]) == str(mean)
+
+
+def test_trailing_means_after_an_infinite_reading(spark):
+    rows = [("a", T0, float("inf")), ("a", T0 + timedelta(days=7), 1.0), ("a", T0 + timedelta(days=7, minutes=1), 2.0), ("a", T0 + timedelta(days=7, minutes=2), 1.5)]
+    frame = spark.createDataFrame(rows, "k string, t timestamp, v double")
+    found = windows.trailing_means(frame, "k", "t", {"m": "v"}).orderBy("t").collect()
+    assert [r["m"] for r in found] == [float("inf"), float("inf"), 1.5, 1.5]
+
+
 def test_sliding_means_equal_plain_windows(spark):
     frame = readings(spark, seed=2)
     plain = frame.groupBy(F.window("event_time", "7 days", "1 day").alias("window"), F.col("location").alias("loc")).agg(
@@ -420,6 +450,38 @@ def test_searches_match_whole_entries(spark):
     assert ids(serve.search_region(frame, "Back Bay")) == ["yt1"]
 
 
+def stored_posts(spark):
+    said = ["Air pollution in Back Bay", "the environment", "climate change, West Roxbury", "nothing", "heat wave heat Roxbury", None]
+    return spark.createDataFrame(
+        [(f"p{i}", T0 + timedelta(days=i % 9, minutes=i), None, said[i % 6], "a", "s", 1) for i in range(60)],
+        "post_id string, event_time_utc timestamp, title_normalized string, body_normalized string, "
+        "author_normalized string, source string, upvotes long").withColumn("event_date", F.to_date("event_time_utc"))
+
+
+def test_searches_read_only_the_lists_of_their_terms(spark, tmp_path):
+    posts = stored_posts(spark)
+    tables.write_postings(enrich.term_postings(enrich.tag_posts(posts)), str(tmp_path / "terms"))
+    posts.write.partitionBy("event_date").parquet(str(tmp_path / "posts"))
+    lists, stored = spark.read.parquet(str(tmp_path / "terms")), spark.read.parquet(str(tmp_path / "posts"))
+    for search, asked, limit in ((serve.search_keywords, "climate change, ENVIRONMENT", 7), (serve.search_keywords, "heat wave", 100),
+                                 (serve.search_region, "roxbury", 4), (serve.search_region, "West Roxbury", 100), (serve.search_region, "none", 5)):
+        whole, listed = search(posts, asked, limit).collect(), search(stored, asked, limit, lists)
+        assert listed.collect() == whole and (len(whole) > 0) == (asked != "none")
+        plan = listed._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*kind[^\]]*term", plan)
+        # Of the posts, only the days of the hits are read.
+        assert "dynamicpruning" in plan
+    assert serve.posts_latest(stored, 3).collect() == serve.posts_latest(enrich.tag_posts(posts), 3).collect()
+
+
+def test_newest_rows_are_found_before_they_are_worked_on(spark):
+    posts = stored_posts(spark).withColumn("body_normalized", F.concat("body_normalized", F.lit("!")))
+    rows = serve.newest_whole(posts.union(posts), 5, "post_id").collect()
+    assert [r["post_id"] for r in rows] == ["p53", "p53", "p44", "p44", "p35"]
+    none = posts.withColumn("event_time_utc", F.lit(None).cast("timestamp"))
+    assert serve.newest_whole(none, 5, "post_id").count() == 5
+
+
 def test_sentiment_label_filter(spark):
     frame = enrich.sentiment_output(spark.createDataFrame(
         [("a", T0, "positive", 0.5), ("b", T0, None, None)],
@@ -462,11 +524,33 @@ def test_reading_takes_one_window(spark):
     found = {r["temperature"]: r["temp_7d_avg"] for r in joins.climate_metrics(parsed, means).collect()}
     assert found == {1.0: 1.0, 3.0: 2.0, 5.0: None}
     newest = joins.with_latest_means(parsed, means).collect()
-    assert {r["temperature"]: r["temp_7d_avg"] for r in newest} == {1.0: 3.0, 3.0: 3.0, 5.0: None}
+    assert {r["temperature"]: r["temp_7d_avg"] for r in newest} == {1.0: 1.0, 3.0: 2.0, 5.0: None}
     # A replayed reading stays one row.
     assert joins.climate_metrics(parsed.union(parsed), means).count() == 3
 
 
+def test_readings_take_the_newest_mean_that_has_ended(spark):
+    rng = random.Random(11)
+    day = lambda n: T0 + timedelta(days=n)
+    readings = [(rng.choice(["hot", "hot", "a", "b", None]), day(rng.randrange(20)) + timedelta(hours=rng.randrange(24)), float(i)) for i in range(120)]
+    # Gaps, several windows of one end, a location without readings, one without windows.
+    ends = [(rng.choice(["hot", "a", "c"]), rng.randrange(-3, 22), float(i)) for i in range(25)] + [("hot", 4, -1.0), ("hot", 4, 99.0)]
+    parsed = spark.createDataFrame(
+        [(p, t, v, 0.0, 0.0) for p, t, v in readings],
+        "location string, event_time timestamp, temperature double, humidity double, precipitation double")
+    means = spark.createDataFrame(
+        [((day(e - 7), day(e)), p, v, 1.0) for p, e, v in ends],
+        "window struct<start: timestamp, end: timestamp>, loc string, temp_7d_avg double, humidity_7d_avg double")
+    found = {r["temperature"]: r["temp_7d_avg"] for r in joins.with_latest_means(parsed, means).collect()}
+    for place, at, value in readings:
+        until = at.replace(hour=0) + timedelta(days=1)
+        known = [(day(e), m) for p, e, m in ends if p == place and day(e) <= until]
+        assert found[value] == (max(known)[1] if known else None)
+    assert joins.with_latest_means(parsed.union(parsed), means).count() == 240
+    assert joins.with_latest_means(parsed.limit(0), means).count() == 0
+    assert joins.with_latest_means(parsed, means.limit(0)).filter("temp_7d_avg is null").count() == 120
+
+
 def test_copies_on_both_sides_do_not_multiply(spark):
     comments = spark.createDataFrame([("c1", "p"), ("c1", "p"), ("c2", "q")], "id string, post_id string")
     posts = spark.createDataFrame([("p", "t", "a"), ("p", "t", "a"), ("r", "x", None)], "id string, title string, author string")
@@ -534,7 +618,8 @@ def test_hot_keys_are_split_at_run_time(spark):
         means = ids.select(
             F.struct(F.lit(T0).alias("start"), F.lit(T0).alias("end")).alias("window"), F.col("post_id").alias("loc"),
             F.lit(1.0).alias("temp_7d_avg"), F.lit(1.0).alias("humidity_7d_avg"))
-        assert "skew=true" in final_plan(joins.with_latest_means(parsed, means))
+        plan = final_plan(joins.with_latest_means(parsed, means))
+        assert "skew=true" in plan, plan
     finally:
         for key in settings:
             spark.conf.unset(key)

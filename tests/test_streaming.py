@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galemark import fixed_values as fv, schemas
-from galemark.operators import logs, windows
+from galemark.operators import enrich, logs, serve, windows
 from galemark.sources import envelope as env, tables
 from galemark.streaming import health, jobs, main, sinks
 
@@ -60,7 +60,9 @@ def test_stored_tables_equal_batch(spark, folder):
     messages.append((fv.AIR_TOPIC, json.dumps(
         {"parameter": "PM25 ", "value": 120.5, "city": "Boston", "timestamp_utc": "2024-01-10T01:00:00"})))
     messages.append((fv.VIDEO_TOPIC, json.dumps(
-        {"id": "p", "title": "T!", "body": "see http://a.b now", "upvotes": 5, "timestamp": 1704850000000})))
+        {"id": "p", "title": "T!", "body": "see http://a.b now, climate change in Back Bay", "upvotes": 5, "timestamp": 1704850000000})))
+    messages.append((fv.SENTIMENT_TOPIC, json.dumps(
+        {"post_id": "p", "sentiment_score": 0.5, "sentiment_label": " Positive", "timestamp": 1704850000000})))
     land(spark, landed, messages[:4], "a")
     land(spark, landed, messages[4:], "b")
 
@@ -74,6 +76,25 @@ def test_stored_tables_equal_batch(spark, folder):
         expected = make(batch)
         stored = spark.read.parquet(f"{out}/{name}").drop("event_date").select(expected.columns)
         assert rows(stored, *CLOCK) == rows(expected, *CLOCK) and stored.count() > 0
+    served(spark, out)
+
+
+def served(spark, out):
+    """Every read operator works on the tables as the jobs store them."""
+    weather, air, posts, terms, sentiment = (
+        spark.read.parquet(f"{out}/{name}") for name in ("weather", "air_quality", "social_posts", "post_terms", "sentiment")
+    )
+    assert serve.weather_latest(weather, 3).count() == 3
+    assert serve.weather_anomalies(weather).count() <= 6
+    assert serve.air_latest(air).first()["value"] == 120.5 and serve.pollution_spikes(air).count() == 1
+    assert serve.posts_latest(posts).first()["keywords"] == ["climate change"]
+    for lists in (None, terms):
+        assert serve.search_keywords(posts, "Climate change", 5, lists).first()["post_id"] == "p"
+        assert serve.search_region(posts, "back bay", 5, lists).first()["post_id"] == "p"
+        assert serve.search_region(posts, "fenway", 5, lists).count() == 0
+    assert serve.sentiment_latest(enrich.sentiment_output(sentiment, posts), 5, "positive").first()["engagement_score"] > 0
+    assert serve.current_temperature(weather).count() == 1 and serve.temperature_series(weather).count() == 6
+    assert serve.iso_times(serve.weather_latest(weather, 1)).first()["event_time_utc"] == "2024-01-10T05:00:00"
 
 
 def test_console_queries_start(spark, folder):
