@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from galemark import fixed_values as fv
-from galemark.functions.stats import newest_rows, rolling_pearson
+from galemark.functions.stats import newest_rows, ratio, rolling_pearson
 from galemark.operators.aggregate import label_counters
 from galemark.operators.serve import daily_latest
 
@@ -74,6 +74,79 @@ def daily_aggregates(
     ))
 
 
+# What a batch adds to a day, and how two such rows become one: averages as sums and counts.
+_WEATHER_MEANS = {
+    "avg_temperature": "temperature_celsius", "avg_feels_like": "feels_like_temp", "avg_humidity": "humidity",
+    "avg_wind_speed": "wind_speed",
+}
+
+
+def _sum_and_count(name: str, value: Column) -> list[Column]:
+    return [F.sum(value).cast("double").alias(f"sum_{name}"), F.count(value).alias(f"cnt_{name}")]
+
+
+def weather_partials(weather: DataFrame) -> DataFrame:
+    """What weather rows add to their days; `merged_partials` joins the parts of several batches."""
+    return _per_day(
+        weather,
+        *(c for name, column in _WEATHER_MEANS.items() for c in _sum_and_count(name, F.col(column))),
+        F.max("temperature_celsius").alias("max_temperature"),
+        F.min("temperature_celsius").alias("min_temperature"),
+        F.sum("precipitation").cast("double").alias("total_precipitation"),
+        F.count_if(F.col("weather_anomaly") != fv.NORMAL).alias("anomaly_count"),
+    )
+
+
+def air_partials(air: DataFrame) -> DataFrame:
+    """What air-quality rows add to their days."""
+    risk = F.col("health_risk_level")
+    return _per_day(
+        air, *_sum_and_count("avg_aqi_score", F.col("aqi_score")),
+        *_sum_and_count("avg_health_risk", F.when(risk >= 0, risk)),
+        F.count_if(F.col("pollution_spike")).alias("pollution_spike_count"),
+    )
+
+
+def sentiment_partials(sentiment: DataFrame) -> DataFrame:
+    """What sentiment rows add to their days."""
+    labels = label_counters(F.col("sentiment_label"))
+    return _per_day(
+        sentiment, *_sum_and_count("avg_sentiment_confidence", F.col("sentiment_confidence_pct")),
+        *(counter.alias(f"{name}_posts") for name, counter in labels.items()),
+    )
+
+
+def post_partials(posts: DataFrame) -> DataFrame:
+    """The posts of each day: distinct ones cannot be added up, so they are kept by id."""
+    days = posts.filter(F.col("event_time_utc").isNotNull())
+    return days.select(F.date_format("event_time_utc", "yyyy-MM-dd").alias("date"), "city", "post_id").distinct()
+
+
+def merged_partials(parts: DataFrame) -> DataFrame:
+    """One row per (date, city) of partial rows of one kind, in any order and grouping."""
+    if "post_id" in parts.columns:
+        return parts.distinct()
+    how = {"max_temperature": F.max, "min_temperature": F.min}
+    return parts.groupBy("date", "city").agg(
+        *(how.get(c, F.sum)(c).alias(c) for c in parts.columns if c not in ("date", "city"))
+    )
+
+
+def daily_from_partials(weather: DataFrame, air: DataFrame, posts: DataFrame, sentiment: DataFrame) -> DataFrame:
+    """`daily_aggregates` of all rows whose partials these are, however they were split."""
+    counted = posts.distinct().groupBy("date", "city").agg(F.count("post_id").alias("num_social_posts"))
+    parts = [*map(merged_partials, (weather, air, sentiment)), counted]
+    lined_up = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    zero = F.lit(0).cast("bigint")
+
+    def figure(name: str) -> Column:
+        if name in _COUNTERS:
+            return F.coalesce(F.max(name), zero)
+        return ratio(F.max(f"sum_{name}"), F.max(f"cnt_{name}")) if name.startswith("avg_") else F.max(name)
+
+    return lined_up.groupBy("date", "city").agg(*(figure(m).alias(m) for m in _MEASURES))
+
+
 def rolling_correlation(daily: DataFrame, rows: int = 7) -> DataFrame:
     """Correlation of sentiment confidence with temperature and with the air index, per city.
 

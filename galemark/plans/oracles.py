@@ -690,6 +690,8 @@ oracle("posts_latest_source", f"""
 oracle("sentiment_latest", """
     SELECT * FROM served_sentiment WHERE sentiment_label = 'positive'
     ORDER BY event_time_utc DESC, post_id LIMIT 50""")
+oracle("daily_merged", f"""
+    SELECT {_DAILY} FROM daily""")
 oracle("daily_latest", f"""
     SELECT {_DAILY} FROM daily ORDER BY date DESC LIMIT 14""")
 oracle("search_keywords", f"""

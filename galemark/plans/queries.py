@@ -592,6 +592,27 @@ def sentiment_latest(t: Inputs) -> DataFrame:
     return serve.sentiment_latest(served, 50, "Positive")
 
 
+@register
+def daily_merged(t: Inputs) -> DataFrame:
+    """Daily aggregates from the partial sums of three batches."""
+    here = F.lit(fv.CITY)
+    posts = t.social_parsed.select(
+        F.col("id").alias("post_id"), F.col("event_time").alias("event_time_utc"), here.alias("city")
+    )
+    sentiment = t.sentiment.withColumn("city", here)
+
+    def split(rows: DataFrame, partials: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+        batch = F.pmod(F.xxhash64(key), F.lit(3))
+        parts = [partials(rows.filter(batch == i)) for i in range(3)]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    merged = daily.daily_from_partials(
+        split(t.weather, daily.weather_partials, "event_time_utc"), split(t.air, daily.air_partials, "event_time_utc"),
+        split(posts, daily.post_partials, "post_id"), split(sentiment, daily.sentiment_partials, "post_id"),
+    )
+    return rounded(merged, 6, "avg_feels_like", "avg_aqi_score", "avg_sentiment_confidence")
+
+
 @register
 def daily_latest(t: Inputs) -> DataFrame:
     rows = serve.daily_latest(t.daily, 14, "Boston, USA")

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from galemark import fixed_values as fv, schemas
-from galemark.operators import clean, enrich
+from galemark.operators import clean, daily, enrich
 from galemark.operators.joins import climate_metrics, with_latest_means
 from galemark.operators.windows import sliding_means
 from galemark.sources import envelope as env
-from galemark.streaming import sinks
+from galemark.streaming import batches, sinks
 
 MEANS_COLUMNS = "loc string, start timestamp, end timestamp, temp_7d_avg double, humidity_7d_avg double"
 MEANS_KEY = ("loc", "start")
@@ -138,3 +138,41 @@ def start_climate_metrics(
 def read_climate_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The current readings, one row per location and time."""
     return sinks.read_keyed(spark, path, schemas.CLIMATE_METRICS, METRICS_KEY, ("ts_ingested",))
+
+
+def _in_city(rows: DataFrame) -> DataFrame:
+    """Rows of a table that has no city, which are those of the one we watch."""
+    return rows if "city" in rows.columns else rows.withColumn("city", F.lit(fv.CITY))
+
+
+# Kind of partial rows -> (result table, how its rows become partial rows).
+_DAILY: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "weather": ("weather", daily.weather_partials),
+    "air": ("air_quality", daily.air_partials),
+    "posts": ("social_posts", daily.post_partials),
+    "sentiment": ("sentiment", lambda rows: daily.sentiment_partials(
+        rows.withColumnRenamed("sentiment_score", "sentiment_confidence_pct")
+    )),
+}
+
+
+def start_daily(
+    source: Callable[[str], DataFrame], path: str, every: int = batches.EVERY, **options
+) -> list[StreamingQuery]:
+    """Keep partial sums per day and city, one query and folder per kind; late rows add to their day."""
+    started = []
+    for kind, (table, partials) in _DAILY.items():
+        topic, make = TABLES[table]
+        write = sinks.sums_writer(f"{path}/{kind}", partials, daily.merged_partials, every)
+        started.append(sinks.to_batches(_in_city(make(source(topic))), f"daily_{kind}", write, **options))
+    return started
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The daily aggregates of all batches so far."""
+    parts = {}
+    for kind, (table, partials) in _DAILY.items():
+        # The schema follows from the operators, so a table without a batch reads as empty.
+        empty = partials(_in_city(TABLES[table][1](spark.createDataFrame([], schemas.ENVELOPE))))
+        parts[kind] = batches.read_batches(spark, f"{path}/{kind}", empty.schema.toDDL())
+    return daily.daily_from_partials(parts["weather"], parts["air"], parts["posts"], parts["sentiment"])

@@ -1,7 +1,7 @@
 """Run the streaming jobs: spark-submit galemark/streaming/main.py JOB [options].
 
-Jobs: `console` prints the enriched tables, `tables` stores them, `weekly` keeps the weekly means and
-the readings joined with them.  Messages come from Kafka (--servers) or from landed files (--landed).
+Jobs: `console` prints the enriched tables, `tables` stores them, `daily` keeps the sums of daily
+aggregates, `weekly` keeps the weekly means and the readings joined with them.  Messages come from Kafka (--servers) or from landed files (--landed).
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from galemark.streaming import health, jobs
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=("console", "tables", "weekly"))
+    parser.add_argument("job", choices=("console", "tables", "daily", "weekly"))
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="Kafka bootstrap servers")
     source.add_argument("--landed", help="folder of landed messages")
-    parser.add_argument("--out", help="folder for results (tables, weekly)")
+    parser.add_argument("--out", help="folder for results (all but console)")
     parser.add_argument("--checkpoints", help="checkpoint folder; default: spark.checkpoint.dir")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     parser.add_argument("--health", action="store_true", help="print a log record per batch")
@@ -49,6 +49,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         started = jobs.start_console(source, **options)
     elif args.job == "tables":
         started = jobs.start_tables(source, args.out, **options)
+    elif args.job == "daily":
+        started = jobs.start_daily(source, f"{args.out}/daily", **options)
     else:
         weather = env.parse_weather(source(fv.WEATHER_TOPIC))
         means, table = f"{args.out}/weekly_means", f"{args.out}/climate_metrics"

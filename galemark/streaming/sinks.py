@@ -1,8 +1,8 @@
 """Sinks for streams and the keyed table they write.
 
-A keyed table is a folder with one subfolder per query and micro-batch (`run=.../epoch=N`).  A batch only adds its own
-rows, and a replayed batch overwrites its own folder, so nothing is read or rewritten on the way in.
-`read_keyed` keeps the newest row per key; `compact_keyed` writes that state to a new folder.
+A keyed table is a table of batches (`batches.py`): a batch only adds its own rows, a replayed batch
+overwrites its own folder, and every so many batches the writer folds them into one snapshot.
+`read_keyed` keeps the newest row per key; `compact_keyed` writes that state to a new table.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from galemark.operators.windows import latest_per_key
 from galemark.session import checkpoint_root
-from galemark.sources.tables import path_or_none
+from galemark.streaming import batches
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -64,16 +64,41 @@ def to_batches(df: DataFrame, name: str, write: BatchWriter, mode: str = "append
     return named(df, name, **options).outputMode(mode).foreachBatch(write).start()
 
 
-def keyed_writer(path: str, key: Sequence[str], newest: Sequence[str]) -> BatchWriter:
-    """Writer of a keyed table; of one batch the newest row per key is kept."""
+_WRITTEN = "written_at timestamp, run string, epoch bigint"
+_ORDER = ("written_at", "epoch", "run")
+
+
+def keyed_writer(
+    path: str, key: Sequence[str], newest: Sequence[str], every: int = batches.EVERY
+) -> BatchWriter:
+    """Writer of a keyed table; of one batch the newest row per key is kept.
+
+    Every `every` batches the table is folded to its newest rows.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        run = batches.run_of(batch)
+        rows = latest_per_key(batch, key, newest).withColumns({
+            "written_at": F.current_timestamp(), "run": F.lit(run), "epoch": F.lit(epoch).cast("bigint"),
+        })
+        batches.add_batch(rows, path, run, epoch)
+        batches.fold_batches(
+            batch.sparkSession, path, rows.schema.toDDL(), lambda all_rows: latest_per_key(all_rows, key, [*newest, *_ORDER]), every
+        )
+
+    return write
+
+
+def sums_writer(
+    path: str, make: Callable[[DataFrame], DataFrame], combine: Callable[[DataFrame], DataFrame],
+    every: int = batches.EVERY,
+) -> BatchWriter:
+    """Writer of partial results: `make` brings a batch down to them, `combine` brings many down to one."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = latest_per_key(batch, key, newest)
-        # The query's id lives in its checkpoint: a new checkpoint, whose epochs begin at 0 again,
-        # gets folders of its own.
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-        written = rows.withColumn("written_at", F.current_timestamp())
-        written.write.mode("overwrite").parquet(f"{path}/run={run}/epoch={epoch}")
+        rows = make(batch)
+        batches.add_batch(rows, path, batches.run_of(batch), epoch)
+        batches.fold_batches(batch.sparkSession, path, rows.schema.toDDL(), combine, every)
 
     return write
 
@@ -109,17 +134,14 @@ def read_keyed(
     spark: SparkSession, path: str, schema: str, key: Sequence[str], newest: Sequence[str]
 ) -> DataFrame:
     """The newest row per key of a keyed table; later batches win ties.  Empty before any write."""
-    stored = f"{schema}, written_at timestamp, run string, epoch bigint"
-    rows = path_or_none(spark, path, stored)
-    if rows is None:
-        rows = spark.createDataFrame([], stored)
-    order = ["written_at", "epoch", "run"]
-    return latest_per_key(rows, key, [*newest, *order]).drop(*order)
+    rows = batches.read_batches(spark, path, f"{schema}, {_WRITTEN}")
+    return latest_per_key(rows, key, [*newest, *_ORDER]).drop(*_ORDER)
 
 
 def compact_keyed(
     spark: SparkSession, path: str, to: str, schema: str, key: Sequence[str], newest: Sequence[str]
 ) -> None:
     """Write the current state of a keyed table as the first batch of the new table `to`."""
-    state = read_keyed(spark, path, schema, key, newest).withColumn("written_at", F.current_timestamp())
-    state.write.mode("overwrite").parquet(f"{to}/run=compact/epoch=-1")
+    state = read_keyed(spark, path, schema, key, newest)
+    marked = {"written_at": F.current_timestamp(), "run": F.lit("compact"), "epoch": F.lit(-1).cast("bigint")}
+    batches.add_batch(state.withColumns(marked), to, "compact", -1)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galemark import fixed_values as fv, schemas
-from galemark.operators import enrich, logs, serve, windows
+from galemark.operators import daily, enrich, logs, serve, windows
 from galemark.sources import envelope as env, tables
 from galemark.streaming import health, jobs, main, sinks
 
@@ -275,3 +275,51 @@ def test_command_line_job(spark, folder, job):
         mean = sum(r["temperature"] for r in rows) / 3
         assert len(rows) == 3 and all(abs(r["temp_7d_avg"] - mean) < 1e-9 for r in rows)
         assert jobs.read_weekly_means(spark, f"{out}/weekly_means").count() == 7
+
+
+def test_keyed_table_reads_a_bounded_number_of_folders(spark, folder):
+    path, schema = folder("many"), "k string, at bigint, v bigint"
+    write = sinks.keyed_writer(path, ["k"], ["at"], every=5)
+    expected = {}
+    for epoch in range(23):
+        batch = [(f"k{epoch % 7}", epoch, epoch), (f"k{epoch % 3}", epoch - 4, -epoch)]
+        for k, at, v in batch:
+            expected[k] = max(expected.get(k, (-99, 0, 0)), (at, epoch, v))
+        write(spark.createDataFrame(batch, schema), epoch)
+        if epoch in (4, 11):
+            # A replay, of a batch that a snapshot has and of one that it has not.
+            write(spark.createDataFrame(batch, schema), epoch)
+        found = sinks.read_keyed(spark, path, schema, ["k"], ["at"])
+        opened = {f.rsplit("/", 1)[0] for f in found.inputFiles()}
+        assert len(opened) <= 6 and {r["k"]: (r["at"], r["v"]) for r in found.collect()} == {
+            k: (at, v) for k, (at, _, v) in expected.items()}
+    kept = [name for name in os.listdir(path) if name.startswith("snapshot=")]
+    assert len(kept) == 2 and len(os.listdir(path + "/run=batch")) <= 11
+    # A snapshot that was not finished does not count.
+    os.makedirs(path + "/snapshot=99")
+    assert sinks.read_keyed(spark, path, schema, ["k"], ["at"]).count() == 7
+
+
+def test_daily_job_equals_daily_aggregates(spark, folder):
+    landed, out = folder("landed"), folder("daily")
+    air = lambda hours, value: (fv.AIR_TOPIC, json.dumps({
+        "parameter": "pm25", "value": value, "city": "Boston", "timestamp_utc": (START + timedelta(hours=hours)).isoformat()}))
+    post = lambda name, hours: (fv.VIDEO_TOPIC, json.dumps(
+        {"id": name, "title": "t", "body": "b", "upvotes": 1, "timestamp": 1704850000000 + hours * 3600000}))
+    mood = lambda name, hours, label: (fv.SENTIMENT_TOPIC, json.dumps(
+        {"post_id": name, "sentiment_score": hours / 64, "sentiment_label": label, "timestamp": 1704850000000 + hours * 3600000}))
+    source = lambda topic: env.file_envelope(spark, landed, [topic], files_per_trigger=1)
+    assert jobs.read_daily(spark, out).count() == 0
+    # The third batch is late: it belongs to the first day.
+    for turn, hours in enumerate((0, 30, 3, 31)):
+        land(spark, landed, [
+            weather_message(hours, temperature=40.0 * (turn % 2)), weather_message(hours + 1, temperature=7.0),
+            air(hours, 50.0 * turn), post("p1", hours), post(f"q{turn}", hours), mood("p1", hours, ["positive", "negative"][turn % 2])], turn)
+        finish(*jobs.start_daily(source, out, every=2, root=folder("ck"), once=True))
+    batch = env.file_envelope(spark, landed, streaming=False)
+    posts, scores = jobs.social_table(batch), jobs.sentiment_table(batch).withColumn("city", F.lit(fv.CITY))
+    whole = daily.daily_aggregates(
+        jobs.weather_table(batch), jobs.air_table(batch), posts.withColumn("city", F.lit(fv.CITY)),
+        scores.withColumnRenamed("sentiment_score", "sentiment_confidence_pct"))
+    assert rows(jobs.read_daily(spark, out)) == rows(whole) and whole.count() == 2
+    assert serve.daily_latest(jobs.read_daily(spark, out)).count() == 2
