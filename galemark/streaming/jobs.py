@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from galemark import fixed_values as fv, schemas
+from galemark.functions.stats import ratio
 from galemark.operators import clean, daily, enrich
 from galemark.operators.joins import climate_metrics, with_latest_means
 from galemark.operators.windows import sliding_means
 from galemark.sources import envelope as env
 from galemark.streaming import batches, sinks
+from galemark.streaming.corrections import corrected_metrics
 
 MEANS_COLUMNS = "loc string, start timestamp, end timestamp, temp_7d_avg double, humidity_7d_avg double"
 MEANS_KEY = ("loc", "start")
@@ -113,6 +115,20 @@ def read_weekly_means(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def running_weekly_means(spark: SparkSession, root: str, name: str = "avg_7d") -> DataFrame:
+    """The weekly means as the query holds them in its state, read from its checkpoint under `root`.
+
+    The state is read by Spark in parallel, partition by partition, as of the last finished batch; the
+    query may be running or not.  Windows that the watermark has dropped are in the stored table only.
+    """
+    state = spark.read.format("statestore").load(f"{root}/{name}")
+    sums = F.col("value").cast("struct<t:double,nt:bigint,h:double,nh:bigint>")
+    return state.select("key.window", F.col("key.location").alias("loc"), sums.alias("s")).select(
+        "window", "loc",
+        ratio(F.col("s.t"), F.col("s.nt")).alias("temp_7d_avg"), ratio(F.col("s.h"), F.col("s.nh")).alias("humidity_7d_avg"),
+    )
+
+
 def start_climate_metrics(
     weather: DataFrame,
     means_path: str,
@@ -135,6 +151,19 @@ def start_climate_metrics(
     return sinks.to_batches(weather, name, write_batch, **options)
 
 
+def start_corrected_metrics(weather: DataFrame, path: str, name: str = "corrected", **options) -> StreamingQuery:
+    """Keep readings with their weekly means right also where later readings change these.
+
+    The means come from the state of this query, so no other table is read.
+    """
+    write = sinks.keyed_writer(path, METRICS_KEY, ("ts_ingested", "temperature", "humidity", "precipitation"))
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        write(batch.withColumn("ts_ingested", F.current_timestamp()), epoch)
+
+    return sinks.to_batches(corrected_metrics(weather), name, write_batch, mode="update", **options)
+
+
 def read_climate_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The current readings, one row per location and time."""
     return sinks.read_keyed(spark, path, schemas.CLIMATE_METRICS, METRICS_KEY, ("ts_ingested",))

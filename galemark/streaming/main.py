@@ -51,13 +51,19 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         started = jobs.start_tables(source, args.out, **options)
     elif args.job == "daily":
         started = jobs.start_daily(source, f"{args.out}/daily", **options)
+    elif not args.once:
+        # Endless: rows written before are corrected as their means change.
+        weather = env.parse_weather(source(fv.WEATHER_TOPIC))
+        started = [
+            jobs.start_weekly_means(weather, f"{args.out}/weekly_means", **options),
+            jobs.start_corrected_metrics(weather, f"{args.out}/climate_metrics", **options),
+        ]
     else:
         weather = env.parse_weather(source(fv.WEATHER_TOPIC))
         means, table = f"{args.out}/weekly_means", f"{args.out}/climate_metrics"
         started = [jobs.start_weekly_means(weather, means, **options)]
-        if args.once:
-            # The readings take the means as stored, so these come first.
-            started[0].awaitTermination()
+        # The readings take the means as stored, so these come first.
+        started[0].awaitTermination()
         started.append(jobs.start_climate_metrics(weather, means, table, **options))
     if args.once:
         for query in started:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from galemark import fixed_values as fv, schemas
-from galemark.operators import daily, enrich, logs, serve, windows
+from galemark.operators import daily, enrich, joins, logs, serve, windows
 from galemark.sources import envelope as env, tables
 from galemark.streaming import health, jobs, main, sinks
 
@@ -323,3 +323,42 @@ def test_daily_job_equals_daily_aggregates(spark, folder):
         scores.withColumnRenamed("sentiment_score", "sentiment_confidence_pct"))
     assert rows(jobs.read_daily(spark, out)) == rows(whole) and whole.count() == 2
     assert serve.daily_latest(jobs.read_daily(spark, out)).count() == 2
+
+
+def test_late_readings_correct_earlier_rows(spark, folder):
+    landed, path = folder("landed"), folder("table")
+    turns = [
+        [weather_message(1, temperature=2.0), weather_message(30, temperature=4.0), weather_message(1, "Salem", 8.0)],
+        [weather_message(36, temperature=6.0)],
+        # Late, but not past the watermark: it changes the means of its own day and of the next.
+        [weather_message(2, temperature=10.0), weather_message(37, temperature=None)],
+    ]
+    land(spark, landed, turns[0], 0)
+    query = jobs.start_corrected_metrics(env.parse_weather(stream(spark, landed)), path, root=folder("ck"))
+    try:
+        for turn in range(3):
+            if turn:
+                land(spark, landed, turns[turn], turn)
+            query.processAllAvailable()
+            batch = env.parse_weather(env.file_envelope(spark, landed, streaming=False))
+            whole = joins.climate_metrics(batch, windows.sliding_means(batch))
+            assert rows(jobs.read_climate_metrics(spark, path), *CLOCK) == rows(whole, *CLOCK)
+        found = {r["temperature"]: r["temp_7d_avg"] for r in jobs.read_climate_metrics(spark, path).collect()}
+        assert found == {2.0: 6.0, 10.0: 6.0, 4.0: 5.5, 6.0: 5.5, None: 5.5, 8.0: 8.0}
+    finally:
+        query.stop()
+    # A restart goes on from the state.
+    land(spark, landed, [weather_message(38, temperature=0.0)], 3)
+    finish(jobs.start_corrected_metrics(env.parse_weather(stream(spark, landed)), path, root=folder("ck"), once=True))
+    found = {r["temperature"]: r["temp_7d_avg"] for r in jobs.read_climate_metrics(spark, path).collect()}
+    assert found[0.0] == found[6.0] == 4.4 and found[2.0] == 6.0
+
+
+def test_running_state_serves_the_weekly_means(spark, folder):
+    landed = folder("landed")
+    for i in range(2):
+        land(spark, landed, [weather_message(20 * i + h, place, float(i + h)) for h in (0, 5) for place in ("Boston", "Salem")], i)
+        weather = env.parse_weather(stream(spark, landed))
+        finish(jobs.start_weekly_means(weather, folder("means"), root=folder("ck"), once=True))
+        batch = windows.sliding_means(env.parse_weather(env.file_envelope(spark, landed, streaming=False)))
+        assert rows(jobs.running_weekly_means(spark, folder("ck"))) == rows(batch.select("window", "loc", "temp_7d_avg", "humidity_7d_avg"))
