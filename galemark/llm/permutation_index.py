@@ -4,6 +4,11 @@ A vector is represented by the order of the pivots, nearest first.  Each shard o
 inverted file per pivot with the place that the pivot has in each of its vectors.  A query adds up,
 over its pivots' files, how far the places differ (Spearman's footrule), and the best share of each
 shard is ranked again by the true measure.
+
+The nearest by inner product need not have a like order of pivots where vectors differ in length.  So
+indexed vectors and pivots get one more component that makes them all as long as the longest, which
+queries have as 0: inner products of queries stay what they are, and among vectors of one length the
+largest is the nearest.
 """
 
 from __future__ import annotations
@@ -64,7 +69,15 @@ def nearest(
         return spark.createDataFrame([], kind)
     n_queries = rows.filter(F.col("vec_id") % every == 0).count()
     shards, blocks = max(1, -(-n // shard)), max(1, -(-n_queries // shard))
-    pivot = spark.sparkContext.broadcast(choose_pivots(rows, pivots))
+    longest = rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
+    chosen = choose_pivots(rows, pivots)
+
+    def rest(values):
+        """The component that makes vectors as long as the longest; scaled, so that no square overflows."""
+        scale = math.sqrt(longest) if 0 < longest < math.inf else 1.0
+        return scale * np.sqrt(np.maximum(longest / scale**2 - ((values / scale) ** 2).sum(axis=1), 0.0))
+
+    pivot = spark.sparkContext.broadcast((chosen, rest(chosen)))
     share = min(1.0, rerank * n**0.75 / n)
 
     def permute(batches):
@@ -73,20 +86,25 @@ def nearest(
                 continue
             values = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1)
             # Place of each pivot in the order by similarity, nearest first; ties by pivot.
-            order = np.argsort(-(values @ pivot.value.T), axis=1, kind="stable")
-            place = np.empty(order.shape, np.int16)
-            np.put_along_axis(place, order, np.arange(order.shape[1], dtype=np.int16)[None, :], 1)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("vec_id"), pa.array([x.tobytes() for x in values], pa.binary()),
-                pa.array([x.tobytes() for x in place], pa.binary()),
-            ], ["vec_id", "v", "place"])
-
-    index = save(rows.mapInArrow(permute, "vec_id long, v binary, place binary"), "index")
-    posted = index.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
+            near, longer = pivot.value
+            product = values @ near.T
+            places = []
+            for likeness in (product + rest(values)[:, None] * longer, product):
+                order = np.argsort(-likeness, axis=1, kind="stable")
+                place = np.empty(order.shape, np.int16)
+                np.put_along_axis(place, order, np.arange(order.shape[1], dtype=np.int16)[None, :], 1)
+                places.append(pa.array([x.tobytes() for x in place], pa.binary()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), pa.array([x.tobytes() for x in values], pa.binary()), *places],
+                ["vec_id", "v", "place", "asked"],
+            )
+
+    index = save(rows.mapInArrow(permute, "vec_id long, v binary, place binary, asked binary"), "index")
+    posted = index.drop("asked").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
     asked = (
-        index.filter(F.col("vec_id") % every == 0)
+        index.filter(F.col("vec_id") % every == 0).drop("place").withColumnRenamed("asked", "place")
         .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(blocks)).cast("int"))
         .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     )

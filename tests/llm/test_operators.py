@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from galemark.llm import common, decontaminate, importance, line_dedup, near_dup, packing, permutation_index, pii, secrets, substring, warc, wordhash
 from galemark.llm.components import components
+from galemark.llm.spans import spans
 from tests.compare import check, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -251,6 +252,28 @@ def test_neighbours_recall_and_ties(spark):
     assert permutation_index.nearest(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.3, 1.0])
+def test_neighbours_recall_with_varied_lengths(spark, spread):
+    x = vectors(4000, 32, 11).astype(float) * np.random.default_rng(12).lognormal(0, spread, 4000)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in permutation_index.nearest(frame).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q, found in got.items():
+        score = x @ x[q]
+        hits += len(found & set([i for i in np.argsort(-score, kind="stable") if i != q][:20]))
+    assert len(got) == 200 and hits / (20 * len(got)) >= 0.9
+
+
+def test_many_matches_are_placed_as_few_are(spark):
+    texts = ["".join(f"x{'é' * (i % 3)} AKIA{'B' * (16 + i % 5)}{i % 10} " for i in range(n)) for n in (1, 255, 256, 257, 1500)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for r in frame.select("i", spans(F.col("t"), secrets.ACCESS, lambda m, _: ~m.endswith("7")).alias("s")).collect():
+        want = [(m.start(), m.end(), m[0]) for m in re.finditer(secrets.ACCESS, texts[r.i]) if not m[0].endswith("7")]
+        assert [tuple(x) for x in r.s] == want
+
+
 def test_packing_is_tight_and_free_of_conflicts(spark):
     draw = np.random.default_rng(6)
     rows = [(i, "w " * int(n), f"s{draw.integers(0, 4)}") for i, n in enumerate(draw.integers(0, 250, 120))]
