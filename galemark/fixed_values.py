@@ -11,6 +11,7 @@ VIDEO_TOPIC = "youtube_raw"
 SENTIMENT_TOPIC = "sentiment_scored"
 POSTS_TOPIC = "reddit_posts"
 COMMENTS_TOPIC = "reddit_comments"
+SHORT_POST_TOPIC = "social_posts_raw"
 CORE_TOPICS = (WEATHER_TOPIC, AIR_TOPIC, VIDEO_TOPIC, SENTIMENT_TOPIC)
 ALL_TOPICS = (POSTS_TOPIC, COMMENTS_TOPIC, VIDEO_TOPIC, WEATHER_TOPIC, AIR_TOPIC, SENTIMENT_TOPIC)
 

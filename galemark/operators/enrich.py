@@ -146,17 +146,19 @@ def social_output(enriched: DataFrame) -> DataFrame:
     )
 
 
-def sentiment_output(sentiment: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+def sentiment_output(
+    sentiment: DataFrame, posts: DataFrame | None = None, newest: Sequence[str] = (),
+) -> DataFrame:
     """Served sentiment rows: category, confidence and engagement with their defaults.
 
     The category is the label (ours).  Engagement comes from `posts` (post_id, upvotes), 0 without;
-    of a post's copies the highest counts.
+    of a post's copies the newest by the columns `newest` counts, of those equal in them the highest.
     """
     if posts is None:
         rows = sentiment.withColumn("engagement_score", F.lit(0.0))
     else:
         engagement = social.engagement_score(F.col("upvotes")).alias("engagement_score")
-        votes = one_per_key(posts.select("post_id", engagement), "post_id")
+        votes = one_per_key(posts.select("post_id", engagement, *newest), "post_id", newest).drop(*newest)
         rows = sentiment.join(votes, "post_id", "left")
     return rows.select(
         "post_id", "event_time_utc", "sentiment_label",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from galemark import fixed_values as fv
@@ -64,11 +66,12 @@ _DAILY_FIELDS = {
 }
 
 
-def flatten_daily(responses: DataFrame, sensors: DataFrame) -> DataFrame:
+def flatten_daily(responses: DataFrame, sensors: DataFrame, newest: Sequence[str] = ()) -> DataFrame:
     """One flat row per daily measurement of a known sensor.
 
     `responses` has (sensor_id, results); place and coordinates come from `sensors`, since the
-    measurements carry none.
+    measurements carry none.  Of a sensor's copies the newest by the columns `newest` counts; copies
+    equal in these are settled by the largest values.
     """
     flat = responses.select("sensor_id", F.explode("results").alias("m")).select(
         "sensor_id",
@@ -76,19 +79,21 @@ def flatten_daily(responses: DataFrame, sensors: DataFrame) -> DataFrame:
         F.coalesce("m.flagInfo.hasFlags", F.lit(False)).alias("has_flags"),
     )
     places = sensors.select(
-        "sensor_id", "location_id", "location_name", "latitude", "longitude"
+        "sensor_id", "location_id", "location_name", "latitude", "longitude", *newest
     )
-    return flat.join(one_per_key(places, "sensor_id"), "sensor_id").withColumn("ingested_at_utc", F.current_timestamp())
+    known = one_per_key(places, "sensor_id", newest).drop(*newest)
+    return flat.join(known, "sensor_id").withColumn("ingested_at_utc", F.current_timestamp())
 
 
-def enrich_sensor(measurements: DataFrame, sensors: DataFrame) -> DataFrame:
+def enrich_sensor(measurements: DataFrame, sensors: DataFrame, newest: Sequence[str] = ()) -> DataFrame:
     """Attach the sensor's attributes to its measurements; unknown sensors drop out.
 
-    A sensor announced several times counts once.
+    A sensor announced several times counts once, as announced last by the columns `newest` (these
+    stay behind).
     No join hint: the sensor list is broadcast where Spark measures it as small enough, and a hot
     sensor is split by the adaptive skew join otherwise.
     """
-    return measurements.join(one_per_key(sensors, "sensor_id"), "sensor_id")
+    return measurements.join(one_per_key(sensors, "sensor_id", newest).drop(*newest), "sensor_id")
 
 
 def explode_measurements(messages: DataFrame) -> DataFrame:

@@ -35,6 +35,20 @@ SHORT_POST = (
     "location string, hashtags array<string>"
 )
 
+AIR_DAY = (
+    "sensor_id bigint, location_id bigint, location_name string, parameter_id bigint, "
+    "parameter_name string, parameter_units string, parameter_display string, value double, "
+    "has_flags boolean, period_label string, period_interval string, datetime_from_utc string, "
+    "datetime_from_local string, datetime_to_utc string, datetime_to_local string, "
+    "latitude double, longitude double, summary_min double, summary_q02 double, "
+    "summary_q25 double, summary_median double, summary_q75 double, summary_q98 double, "
+    "summary_max double, summary_avg double, summary_sd double, coverage_expected_count bigint, "
+    "coverage_expected_interval string, coverage_observed_count bigint, "
+    "coverage_observed_interval string, coverage_percent_complete double, "
+    "coverage_percent_coverage double, coverage_datetime_from_utc string, "
+    "coverage_datetime_to_utc string, ingested_at_utc string"
+)
+
 # Nested payloads.
 SENSOR_LOCATION = (
     "id bigint, name string, coordinates struct<latitude: double, longitude: double>, "
@@ -77,6 +91,8 @@ LOG = (
     "ts_utc string, component string, event string, stream string, cycle bigint, "
     "elapsed_sec double, records_sent bigint, throughput_rps double, sleep_sec bigint"
 )
+# Log records of streams (ours): rows that were rejected, and how far the newest event lies back.
+HEALTH = f"{LOG}, rejects bigint, not_json bigint, unknown_shape bigint, lag_sec double"
 
 # Keyed table of readings with their weekly means, key (location, window_ts).
 CLIMATE_METRICS = (

@@ -162,6 +162,17 @@ def parse_video_comments(envelope: DataFrame, **options) -> DataFrame:
     return rows.withColumnRenamed("text", "body")
 
 
+def parse_short_posts(envelope: DataFrame, **options) -> DataFrame:
+    """Short posts as social rows: the text becomes the body, the user the author, the platform the source."""
+    rows = parse(envelope, fv.SHORT_POST_TOPIC, schemas.SHORT_POST, iso_time(), **options)
+    return rows.withColumnsRenamed({"text": "body", "user": "author", "platform": "source"})
+
+
+def parse_air_days(envelope: DataFrame, **options) -> DataFrame:
+    """Daily measurements of sensors; their event time is the day's begin."""
+    return parse(envelope, fv.AIR_DAILY_TOPIC, schemas.AIR_DAY, iso_time("datetime_from_utc"), **options)
+
+
 def rejects(parsed: DataFrame) -> DataFrame:
     """Side output of a strict parse: the rows that are not valid."""
     return parsed.filter(~F.col("is_valid"))

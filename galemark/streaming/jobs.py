@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from galemark import fixed_values as fv, schemas
@@ -12,7 +12,7 @@ from galemark.functions.stats import ratio
 from galemark.operators import clean, daily, enrich
 from galemark.operators.joins import climate_metrics, with_latest_means
 from galemark.operators.windows import sliding_means
-from galemark.sources import envelope as env
+from galemark.sources import envelope as env, shapes
 from galemark.streaming import batches, sinks
 from galemark.streaming.corrections import corrected_metrics
 
@@ -46,6 +46,45 @@ def post_terms_table(envelope: DataFrame) -> DataFrame:
     return enrich.term_postings(enrich.tag_posts(social_table(envelope)))
 
 
+def _comment_id() -> Column:
+    """An id of a video comment, which has none: the video and a hash of author, time and text."""
+    said = F.to_json(F.struct("author", "published_at", "body"))
+    return F.concat_ws(":", "video_id", F.substring(F.sha2(said, 256), 1, 16))
+
+
+def video_comments_table(envelope: DataFrame) -> DataFrame:
+    """Video comments as stored posts."""
+    rows = env.parse_video_comments(shapes.of_shape(envelope, fv.VIDEO_TOPIC, shapes.VIDEO_COMMENT))
+    return _as_posts(rows.withColumn("id", _comment_id()))
+
+
+def short_posts_table(envelope: DataFrame) -> DataFrame:
+    """Short posts as stored posts."""
+    return _as_posts(env.parse_short_posts(shapes.of_shape(envelope, fv.SHORT_POST_TOPIC, shapes.SHORT_POST)))
+
+
+def _as_posts(rows: DataFrame) -> DataFrame:
+    lacking = {"title": "string", "upvotes": "bigint", "url": "string"}
+    rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in lacking.items()})
+    return enrich.social_output(enrich.enrich_social(clean.clean_social(rows)))
+
+
+def air_days_table(envelope: DataFrame) -> DataFrame:
+    """Daily measurements of sensors, flat."""
+    rows = env.parse_air_days(shapes.of_shape(envelope, fv.AIR_DAILY_TOPIC, shapes.AIR_DAY))
+    return rows.withColumnRenamed("event_time", "event_time_utc").drop("source_topic", "is_valid", "kafka_timestamp")
+
+
+# Keyed table of messages that their producers send again -> (topic, how its rows are made, key, what is newest).
+KEYED: dict[str, tuple[str, Callable[[DataFrame], DataFrame], tuple[str, ...], tuple[str, ...]]] = {
+    "video_comments": (fv.VIDEO_TOPIC, video_comments_table, ("post_id",), ("event_time_utc",)),
+    "short_posts": (fv.SHORT_POST_TOPIC, short_posts_table, ("post_id",), ("event_time_utc",)),
+    "air_days": (
+        fv.AIR_DAILY_TOPIC, air_days_table, ("sensor_id", "parameter_id", "datetime_from_utc"), ("ingested_at_utc",),
+    ),
+}
+
+
 # Result table -> (topic, how its rows are made).  A stream per topic reads that topic only.
 TABLES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "weather": (fv.WEATHER_TOPIC, weather_table),
@@ -84,6 +123,28 @@ def start_tables(
     return started
 
 
+def start_payloads(
+    source: Callable[[str], DataFrame], path: str, every: int = batches.EVERY, **options
+) -> list[StreamingQuery]:
+    """One query per keyed table of `KEYED`, and one per topic that stores its rejects with their reason."""
+    started = []
+    for name, (topic, make, key, newest) in KEYED.items():
+        write = sinks.keyed_writer(f"{path}/{name}", key, newest, every)
+        started.append(sinks.to_batches(make(source(topic)), name, write, **options))
+    for topic in shapes.SHAPES:
+        started.append(sinks.to_files(
+            shapes.shapeless(source(topic)), f"rejects_{topic}", f"{path}/rejects/{topic}", ["reject_reason"], **options
+        ))
+    return started
+
+
+def read_payloads(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The current rows of a table of `KEYED`; empty before any message."""
+    _, make, key, newest = KEYED[name]
+    schema = make(spark.createDataFrame([], schemas.ENVELOPE)).schema.toDDL()
+    return sinks.read_keyed(spark, f"{path}/{name}", schema, key, newest)
+
+
 def await_any(spark: SparkSession) -> None:
     """Wait until a query ends; its failure is raised here."""
     spark.streams.awaitAnyTermination()

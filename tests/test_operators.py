@@ -105,6 +105,27 @@ def test_daily_measurements_have_35_fields(spark):
     assert found == {(1.0, True, 1.0, None), (None, False, 1.0, None)}
 
 
+def test_moved_sensors_take_their_newest_place(spark):
+    columns = ("sensor_id long, location_id long, location_name string, parameter_name string, parameter_units string, "
+               "parameter_display string, latitude double, longitude double, seen_at string")
+    sensors = spark.createDataFrame([
+        (1, 9, "old", "p", "u", "d", 9.0, 9.0, "2024-01-01"), (1, 5, "new", "p", "u", "d", 1.0, 2.0, "2024-02-01"),
+    ], columns)
+    body = [{"sensor_id": 1, "results": [{"value": 1.0}]}]
+    daily_rows_of = shape.decode(messages(spark, "d", body), schemas.DAILY_RESPONSE)
+    row, = shape.flatten_daily(daily_rows_of, sensors, ["seen_at"]).collect()
+    assert (row["location_id"], row["latitude"]) == (5, 1.0) and "seen_at" not in row.asDict()
+    measured = spark.createDataFrame([(1, 3.5)], "sensor_id long, value double")
+    row, = shape.enrich_sensor(measured, sensors, ["seen_at"]).collect()
+    assert row["location_name"] == "new" and "seen_at" not in row.asDict()
+    scores = spark.createDataFrame(
+        [("p", 0.5, "positive", T0)], "post_id string, sentiment_score double, sentiment_label string, event_time_utc timestamp")
+    posts = spark.createDataFrame([("p", 100, 1), ("p", 10, 2)], "post_id string, upvotes long, version int")
+    newest, = enrich.sentiment_output(scores, posts, ["version"]).collect()
+    alone, = enrich.sentiment_output(scores, posts.filter("version = 2")).collect()
+    assert newest == alone
+
+
 def test_hourly_arrays(spark):
     def forecast(**arrays):
         full = {"temperature_2m": [1.0, 2.0], "relativehumidity_2m": [3.0, 4.0], "precipitation": [5.0, 6.0],

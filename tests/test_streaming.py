@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from galemark import fixed_values as fv, schemas
 from galemark.operators import daily, enrich, joins, logs, serve, windows
-from galemark.sources import envelope as env, tables
+from galemark.sources import envelope as env, shapes, tables
 from galemark.streaming import health, jobs, main, sinks
 
 START = datetime(2024, 1, 10, tzinfo=timezone.utc)
@@ -362,3 +362,65 @@ def test_running_state_serves_the_weekly_means(spark, folder):
         finish(jobs.start_weekly_means(weather, folder("means"), root=folder("ck"), once=True))
         batch = windows.sliding_means(env.parse_weather(env.file_envelope(spark, landed, streaming=False)))
         assert rows(jobs.running_weekly_means(spark, folder("ck"))) == rows(batch.select("window", "loc", "temp_7d_avg", "humidity_7d_avg"))
+
+
+def mixed_messages():
+    comment = {"video_id": "v", "author": "A", "text": "Back Bay!", "published_at": "2024-01-10T01:00:00Z", "cycle": 1}
+    short = {"platform": "x", "id": "7", "text": "hot", "timestamp_utc": "2024-01-10T02:00:00+00:00", "user": "u", "hashtags": []}
+    day = {"sensor_id": 3, "parameter_id": 2, "value": 1.5, "datetime_from_utc": "2024-01-09T00:00:00Z",
+           "has_flags": False, "ingested_at_utc": "2024-01-10T00:00:00"}
+    post = {"id": "p", "title": "T", "body": "b", "timestamp": 1704850000000}
+    return [
+        (fv.VIDEO_TOPIC, json.dumps(comment)), (fv.VIDEO_TOPIC, json.dumps(post)),
+        (fv.VIDEO_TOPIC, json.dumps({**comment, "cycle": 2})), (fv.VIDEO_TOPIC, json.dumps({**comment, "author": None})),
+        (fv.VIDEO_TOPIC, "no json"), (fv.VIDEO_TOPIC, '{"id": "q"}'), (fv.VIDEO_TOPIC, "[1]"),
+        (fv.SHORT_POST_TOPIC, json.dumps(short)), (fv.SHORT_POST_TOPIC, json.dumps(short)),
+        (fv.AIR_DAILY_TOPIC, json.dumps(day)),
+        (fv.AIR_DAILY_TOPIC, json.dumps({**day, "value": 2.5, "ingested_at_utc": "2024-01-11T00:00:00"})),
+    ]
+
+
+def test_payloads_of_one_topic_are_told_apart(spark, folder):
+    rows = [(t, None, bytearray(v.encode()), START) for t, v in mixed_messages()]
+    rows.append((fv.VIDEO_TOPIC, None, None, START))
+    rows.append(("some_topic", None, bytearray(b"{}"), START))
+    frame = spark.createDataFrame(rows, schemas.ENVELOPE)
+    found = [(r["shape"], r["reject_reason"]) for r in shapes.with_shape(frame).collect()]
+    comment, none, unknown = (shapes.VIDEO_COMMENT, None), (None, shapes.NOT_JSON), (None, shapes.UNKNOWN)
+    assert found == [
+        comment, (shapes.POST, None), comment, comment, none, unknown, unknown,
+        (shapes.SHORT_POST, None), (shapes.SHORT_POST, None), (shapes.AIR_DAY, None), (shapes.AIR_DAY, None), none, unknown,
+    ]
+    plan = shapes.with_shape(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 1
+
+
+def test_payload_jobs_keep_one_row_per_key_and_all_rejects(spark, folder):
+    landed, out = folder("landed"), folder("out")
+    messages = mixed_messages()
+    land(spark, landed, messages[:5], "a")
+    land(spark, landed, messages[5:], "b")
+    args = ["payloads", "--landed", landed, "--out", out, "--checkpoints", folder("ck"), "--once"]
+    main.run(spark, main.arguments([*args, "--health-out", folder("health")]))
+    comments = jobs.read_payloads(spark, out, "video_comments").collect()
+    assert sorted((r["author_normalized"] or "", r["body_normalized"]) for r in comments) == [("", "back bay"), ("a", "back bay")]
+    assert all(r["post_id"].startswith("v:") and r["event_time_utc"].hour == 1 for r in comments)
+    short, = jobs.read_payloads(spark, out, "short_posts").collect()
+    assert (short["post_id"], short["author_normalized"], short["body_normalized"]) == ("7", "u", "hot")
+    day, = jobs.read_payloads(spark, out, "air_days").collect()
+    assert (day["sensor_id"], day["value"], day["event_time_utc"].day) == (3, 2.5, 9)
+    rejects = spark.read.parquet(f"{out}/rejects/{fv.VIDEO_TOPIC}").collect()
+    assert sorted((r["reject_reason"], r["value"]) for r in rejects) == [
+        (shapes.NOT_JSON, "no json"), (shapes.UNKNOWN, "[1]"), (shapes.UNKNOWN, '{"id": "q"}')]
+
+    records = health.read_health(spark, folder("health"))
+    seen = records.filter("event = 'cycle_complete'").groupBy("stream").agg(
+        F.sum("records_sent").alias("n"), F.sum("rejects").alias("bad"), F.sum("not_json").alias("text"),
+        F.min("lag_sec").alias("lag"))
+    by_stream = {r["stream"]: r for r in seen.collect()}
+    videos = by_stream["video_comments"]
+    assert (videos["n"], videos["bad"], videos["text"]) == (7, 3, 1) and videos["lag"] > 0
+    assert by_stream["air_days"]["bad"] == 0
+    assert logs.event_rate(records).count() > 0
+    last = logs.last_values(records).filter("stream = 'short_posts'")
+    assert last.count() > 0
