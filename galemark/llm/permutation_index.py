@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by the order of the pivots, nearest first.  Each shard of the index keeps an
-inverted file per pivot with the place that the pivot has in each of its vectors.  A query adds up,
-over its pivots' files, how far the places differ (Spearman's footrule), and the best share of each
-shard is ranked again by the true measure.
+A vector is represented by its nearest pivots in order, nearest first, and posted to the inverted files
+of these only, with the pivot's place.  A query reads the files of its own nearest pivots and ranks the
+vectors by footrule distance, in which a pivot that a vector has not posted stands at the place after
+the last; the best share of each shard is ranked again by the true measure.  With a, b = m - place of
+a pivot (0 where not posted), the footrule is the sum of |a - b| = a + b - 2 min(a, b), and the sums of a
+and of b are the same for all: so adding up min(a, b) over the postings read ranks by footrule.
 
 The nearest by inner product need not have a like order of pivots where vectors differ in length.  So
 indexed vectors and pivots get one more component that makes them all as long as the longest, which
@@ -22,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from galemark.llm.common import column, save, ship, table
 
-#: Pivots; vectors of a shard, and queries that visit it at once.
-PIVOTS, SHARD = 128, 8192
+#: Pivots; those of them that a vector is posted to and a query reads; vectors of a shard, and queries
+#: that visit it at once.
+PIVOTS, POSTED, SHARD = 512, 48, 8192
 #: Of n vectors, RERANK * n ** 0.75 are ranked by the true measure, dealt over the shards by size.
 RERANK = 1.5
 
@@ -52,8 +55,8 @@ def choose_pivots(rows: DataFrame, n: int) -> np.ndarray:
 
 
 def nearest(
-    vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVOTS, shard: int = SHARD, rerank: float = RERANK,
-    id_column: str = "vec_id", vector_column: str = "embedding",
+    vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVOTS, posted: int = POSTED,
+    shard: int = SHARD, rerank: float = RERANK, id_column: str = "vec_id", vector_column: str = "embedding",
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: k nearest by inner product of every query's vector.
 
@@ -85,26 +88,25 @@ def nearest(
             if not batch.num_rows:
                 continue
             values = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1)
-            # Place of each pivot in the order by similarity, nearest first; ties by pivot.
+            # The nearest pivots in order; ties by pivot.
             near, longer = pivot.value
             product = values @ near.T
-            places = []
+            orders = []
             for likeness in (product + rest(values)[:, None] * longer, product):
-                order = np.argsort(-likeness, axis=1, kind="stable")
-                place = np.empty(order.shape, np.int16)
-                np.put_along_axis(place, order, np.arange(order.shape[1], dtype=np.int16)[None, :], 1)
-                places.append(pa.array([x.tobytes() for x in place], pa.binary()))
+                order = np.argsort(-likeness, axis=1, kind="stable")[:, :posted].astype(np.int16)
+                orders.append(pa.array([x.tobytes() for x in order], pa.binary()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array([x.tobytes() for x in values], pa.binary()), *places],
-                ["vec_id", "v", "place", "asked"],
+                [batch.column("vec_id"), pa.array([x.tobytes() for x in values], pa.binary()), *orders],
+                ["vec_id", "v", "near", "asked"],
             )
 
-    index = save(rows.mapInArrow(permute, "vec_id long, v binary, place binary, asked binary"), "index")
-    posted = index.drop("asked").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
+    index = save(rows.mapInArrow(permute, "vec_id long, v binary, near binary, asked binary"), "index")
+    # Shards are visited by whole blocks of queries, so a vector is sent once per `shard` queries.
+    files = index.drop("asked").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
     asked = (
-        index.filter(F.col("vec_id") % every == 0).drop("place").withColumnRenamed("asked", "place")
+        index.filter(F.col("vec_id") % every == 0).drop("near").withColumnRenamed("asked", "near")
         .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(blocks)).cast("int"))
         .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     )
@@ -115,14 +117,21 @@ def nearest(
             posts = posts.sort_values("vec_id")
             ids = posts["vec_id"].to_numpy()
             values = np.frombuffer(b"".join(posts["v"]), np.float64).reshape(len(ids), -1)
-            files = np.ascontiguousarray(np.frombuffer(b"".join(posts["place"]), np.int16).reshape(len(ids), -1).T)
+            near = np.frombuffer(b"".join(posts["near"]), np.int16).reshape(len(ids), -1)
+            last = near.shape[1]
+            # The files one after another: by pivot, then by vector; `weight` is `last` less the place.
+            by_pivot = np.argsort(near, axis=None, kind="stable")
+            vector, weight = by_pivot // last, (last - by_pivot % last).astype(np.float64)
+            begin = np.searchsorted(near.ravel()[by_pivot], np.arange(near.max() + 2))
             most = min(len(ids), max(4 * k, math.ceil(share * len(ids))))
-            for query_id, v, place in zip(queries["vec_id"], queries["v"], queries["place"]):
-                footrule = np.zeros(len(ids), np.int64)
-                for file, own in zip(files, np.frombuffer(place, np.int16)):
-                    footrule += np.abs(file - own)
+            for query_id, v, own in zip(queries["vec_id"], queries["v"], queries["near"]):
+                read = [(slice(begin[p], begin[p + 1]), last - i) for i, p in enumerate(np.frombuffer(own, np.int16)) if p + 1 < len(begin)]
+                common = np.bincount(
+                    np.concatenate([vector[at] for at, _ in read]) if read else np.zeros(0, np.int64),
+                    np.concatenate([np.minimum(weight[at], w) for at, w in read]) if read else None, len(ids),
+                ).astype(np.int64)
                 # The lowest footrule, then the smallest id; ids are in order.
-                key = (footrule << 32) | np.arange(len(ids))
+                key = (-common << 32) | np.arange(len(ids))
                 key[ids == query_id] = np.iinfo(np.int64).max
                 best = np.argpartition(key, most - 1)[:most]
                 best = best[ids[best] != query_id]
@@ -132,7 +141,7 @@ def nearest(
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     found = (
-        posted.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
+        files.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
         .applyInPandas(search, "query_id long, vec_id long, score double")
     )
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

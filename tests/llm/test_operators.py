@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on small tables with awkward rows."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -178,6 +179,44 @@ def test_secrets_equal_base_rules_and_link_complements(spark):
     assert secrets.credentials(docs(spark, [])).count() == 0
 
 
+def linked_by_all_pairs(text, scope):
+    """Weak spans and credentials by comparing every part with every other."""
+    found = base_secrets(text)
+    for number, kind, pattern in ((3, "endpoint", secrets.ENDPOINT), (4, "identifier", secrets.IDENTIFIER), (5, "key", secrets.KEY)):
+        for m in re.finditer(pattern, text):
+            if kind != "key" or all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]")):
+                found.append((m.start(), number, m.end(), kind))
+    role, gap = secrets.KINDS, lambda a, b: max(0, b[0] - a[2], a[0] - b[2])
+    more, whole = [], []
+    for a in sorted(found):
+        near = {r: min([(gap(a, b), *b) for b in found if role[b[3]] == r != role[a[3]] and gap(a, b) <= scope], default=None)
+                for r in ("secret", "identity", "place")}
+        covered = any(b[3] in secrets.BASE and b[3] != a[3] and b[0] < a[2] and a[0] < b[2] for b in found)
+        if {"key": not covered and (near["identity"] or near["place"]), "identifier": near["secret"],
+                "endpoint": near["secret"] and near["identity"]}.get(a[3]):
+            more.append(a)
+        if role[a[3]] == "secret" and not (a[3] == "key" and covered) and (near["identity"] or near["place"]):
+            parts = [a] + [p[1:] for p in (near["identity"], near["place"]) if p]
+            whole.append("+".join(f"{k}:{s}:{e}" for s, _, e, k in parts))
+    every = sorted(more + base_secrets(text))
+    return len(more), ",".join(f"{k}:{s}:{e}" for s, _, e, k in every), ",".join(whole)
+
+
+@pytest.mark.parametrize("scope", [0, 7, 200])
+def test_credentials_equal_all_pairs(spark, scope):
+    draw, pieces = random.Random(scope), (
+        "user=alice", "login: bob@x.y", "password=abcdefgh", "AKIA" + "Q7" * 9, "0f" * 13, "Ab1" * 12, "token=" + "Zz9" * 15,
+        "https://h.example/p?token=abcdef1", "https://h/" + "p" * 450, "word", "é😀 ", " " * 6, "x" * 90, "\n",
+    )
+    texts = ["".join(draw.choice(pieces) + " " * draw.randint(0, 9) for _ in range(draw.randint(0, 40))) for _ in range(60)]
+    rows = [(i, t, "s") for i, t in enumerate(texts + SECRETS)]
+    rows += [rows[3], (None, texts[4], "s"), (None, texts[5], "s")]
+    got = sorted((r.spans, r.n_linked, r.credentials) for r in secrets.credentials(docs(spark, rows), scope).collect())
+    want = [linked_by_all_pairs(t or "", scope) for _, t, _ in rows]
+    assert got == sorted((every, n, whole) for n, every, whole in want)
+    assert sum(n for n, _, _ in want) > 5
+
+
 def base_pii(text):
     rules = (
         ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m, d: True),
@@ -266,6 +305,31 @@ def test_neighbours_recall_with_varied_lengths(spark, spread):
     assert len(got) == 200 and hits / (20 * len(got)) >= 0.9
 
 
+@pytest.mark.parametrize("posted, shard", [(5, 64), (40, 512)])
+def test_postings_rank_by_footrule(spark, posted, shard):
+    x = vectors(300, 8, 3).astype(float)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = permutation_index.usable(frame)
+    pivots = permutation_index.choose_pivots(rows, 40)
+    place = np.argsort(np.argsort(-(x @ pivots.T), axis=1, kind="stable"), axis=1)
+    cut = np.minimum(place, posted)
+    # Nothing but the footrule decides who is ranked again: 8 candidates of each shard, 2 answers.
+    got = {}
+    for r in permutation_index.nearest(frame, k=2, pivots=40, posted=posted, shard=shard, rerank=0.0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    home = np.array([r[0] for r in frame.orderBy("vec_id").select(
+        F.pmod(F.xxhash64("vec_id"), F.lit(-(-300 // shard)))).collect()])
+    for q, found in got.items():
+        distance, score = np.abs(cut - cut[q]).sum(axis=1), x @ x[q]
+        chosen = []
+        for h in set(home):
+            # A query takes one of the candidates' seats in its own shard if it is among them.
+            inside = sorted((distance[i] if i != q else 10**9, i) for i in np.flatnonzero(home == h))[:8]
+            chosen += [i for _, i in inside if i != q]
+        assert [v for _, v in sorted(found)] == sorted(chosen, key=lambda i: (-score[i], i))[:2]
+    assert len(got) == 15
+
+
 def test_many_matches_are_placed_as_few_are(spark):
     texts = ["".join(f"x{'é' * (i % 3)} AKIA{'B' * (16 + i % 5)}{i % 10} " for i in range(n)) for n in (1, 255, 256, 257, 1500)]
     frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
