@@ -2,11 +2,10 @@
 
 The raw models count hashed n-grams of all documents, the target models those of documents that
 labels call good.  There are two families of n-grams: words without case and punctuation, and pairs
-of neighbouring words' shapes (kinds of their first and last characters).  A gram's weight is the log
-ratio of its target to its raw frequency, less that of a typical gram, and 0 where the counts could
-as well be chance.  A document's weight in a family is the sum over its grams over the root of their
-number, in units of how low good documents go; its weight is the lower of the two.  Adding Gumbel
-noise and keeping the k largest draws k documents without replacement by their weights.
+of neighbouring words' shapes (kinds of their first and last characters).  A document's log weight is
+the sum over its grams of both families of the log ratio of their target to their raw frequency, each
+smoothed by one occurrence.  Adding Gumbel noise and keeping the k largest draws k documents without
+replacement by their weights.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from galemark.llm import wordhash
 from galemark.llm.common import column, save, ship, table, text_key
@@ -24,13 +23,10 @@ from galemark.llm.common import column, save, ship, table, text_key
 BUCKETS = (1 << 18, 1 << 14)
 #: At most so many labelled good documents make the target models: those of smallest id hash.
 TARGET_DOCUMENTS = 20_000
-#: Standard deviations by which a count must differ from its expectation to count.
-SIGNIFICANT = 5.0
-#: The weight of a good document that only one in a hundred goes below, negated; the standard
-#: deviation of Gumbel noise is about 1.3.
-TEMPERATURE = 10.0
 #: Gram weights are whole multiples of 1 / SCALE, so sums do not depend on their order.
 SCALE = 1 << 20
+#: Log weights are told apart by 1 / FINE of their size (of 1, near 0) when k is calibrated.
+FINE = 64
 
 _CLASS = np.array(
     [1 if b > 127 else 2 if chr(b).isdigit() else 3 if chr(b).isupper() else 4 if chr(b).islower() else 5 + b
@@ -52,48 +48,38 @@ def _grams(texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray]]:
 
 
 class Resampler:
-    """A fitted model: gram weights, the units of both families, and the cut that selects k rows."""
+    """A fitted model: gram weights, and the cut that selects k rows."""
 
     def __init__(self, weights: list[np.ndarray]):
-        self.weights, self.units, self.cut = weights, [1.0, 1.0], -math.inf
+        self.weights, self.cut = weights, -math.inf
 
     def scored(self, docs: DataFrame, keep: list[str]) -> DataFrame:
-        """`keep` columns of docs, the noise of a row, and its two sums, null for a text without words.
+        """`keep` columns of docs, the log weight of a row, null for a text without words, and its draw.
 
-        The noise is a hash of id and text, so another run draws alike.
+        The Gumbel noise in the draw is a hash of id and text, so another run draws alike.
         """
         weights = ship(docs.sparkSession).sparkContext.broadcast(self.weights)
 
         def score(batches):
             for batch in batches:
                 for part in wordhash.slices(batch, "text"):
-                    sums = []
-                    for (grams, row), weight in zip(zip(*_grams(part.column("text"))), weights.value):
-                        total = np.zeros(part.num_rows, np.int64)
+                    total = np.zeros(part.num_rows, np.int64)
+                    families = list(zip(*_grams(part.column("text")), weights.value))
+                    for grams, row, weight in families:
                         np.add.at(total, row, weight[grams])
-                        size = np.bincount(row, minlength=part.num_rows)
-                        sums.append(total / SCALE / np.sqrt(np.maximum(size, 1)))
-                        if len(sums) == 1:
-                            none = size == 0
+                    none = np.bincount(families[0][1], minlength=part.num_rows) == 0
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(c) for c in [*keep, "noise"]] + [pa.array(x, mask=none) for x in sums],
-                        [*keep, "noise", "word_sum", "shape_sum"],
+                        [part.column(c) for c in [*keep, "noise"]] + [pa.array(total / SCALE, mask=none)],
+                        [*keep, "noise", "log_weight"],
                     )
 
         share = F.shiftrightunsigned(F.xxhash64("doc_id", text_key(F.col("text"))), 12)
         source = docs.withColumn("noise", -F.log(-F.log((share + F.lit(0.5)) / F.lit(2.0**52))))
         kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-        return source.select(*dict.fromkeys([*keep, "text", "noise"])).mapInArrow(
-            score, f"{kinds}, noise double, word_sum double, shape_sum double"
+        rows = source.select(*dict.fromkeys([*keep, "text", "noise"])).mapInArrow(
+            score, f"{kinds}, noise double, log_weight double"
         )
-
-    def log_weight(self) -> Column:
-        # (least skips nulls, so the null of a text without words is put back)
-        both = F.least(*(F.col(c) / F.lit(u) for c, u in zip(("word_sum", "shape_sum"), self.units)))
-        return F.when(F.col("word_sum").isNotNull(), both * TEMPERATURE)
-
-    def draw(self) -> Column:
-        return self.log_weight() + F.col("noise")
+        return rows.select(*keep, "log_weight", (F.col("log_weight") + F.col("noise")).alias("draw"))
 
 
 def fit(
@@ -123,11 +109,7 @@ def fit(
     )
     model = Resampler(_weights(marked))
     scores = save(model.scored(docs.select("doc_id", "text"), ["doc_id"]), "scores")
-    held = known.filter(~half)
-    found = scores.join(held.filter("good = 1"), "doc_id")
-    low = found.agg(*(F.percentile(c, 0.01) for c in ("word_sum", "shape_sum"))).first()
-    model.units = [max(-(x or 0.0), 0.01) for x in low]
-    return model, scores, held
+    return model, scores, known.filter(~half)
 
 
 def _weights(marked: DataFrame) -> list[np.ndarray]:
@@ -159,28 +141,23 @@ def _weights(marked: DataFrame) -> list[np.ndarray]:
         if not t.sum():
             weights.append(np.zeros(len(r), np.int64))
             continue
-        expected = r / r.sum() * t.sum()
-        ratio = np.log((t + 1) / (expected + 1))
-        order = np.argsort(ratio, kind="stable")
-        typical = ratio[order][np.searchsorted(np.cumsum(r[order]), r.sum() / 2)]
-        expected *= math.exp(typical)
-        sure = np.abs(t - expected) > SIGNIFICANT * np.sqrt(expected + 1)
-        weights.append(np.round(np.where(sure, ratio - typical, 0) * SCALE).astype(np.int64))
+        weights.append(np.round(np.log((t + 1) / (r / r.sum() * t.sum() + 1)) * SCALE).astype(np.int64))
     return weights
 
 
-def calibrated_size(model: Resampler, scores: DataFrame, held: DataFrame) -> int:
+def calibrated_size(scores: DataFrame, held: DataFrame) -> int:
     """k: how many rows weigh at least as much as the cut that best parts good labels from bad ones.
 
     Only held-out labels count.  The cut gets most of them right; ties take the smallest cut.  Without
     good or without bad ones every row that has words is wanted.
     """
-    weighed = scores.withColumn("log_weight", model.log_weight())
-    # Weights of good documents are around 0 and the cut lies near them: bins of 0.1 within 100 of 0.
-    place = F.floor(F.greatest(F.lit(-100.0), F.least(F.lit(100.0), F.col("log_weight"))) * 10)
+    w = F.col("log_weight")
+    # Bins as wide as their weights are large: a few thousand, however long the texts.
+    place = F.floor(F.signum(w) * F.log1p(F.abs(w)) * FINE)
     bins = (
-        weighed.join(held, "doc_id").dropna(subset=["log_weight"])
-        .groupBy(place.alias("bin")).agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
+        scores.join(held, "doc_id").dropna(subset=["log_weight"])
+        .groupBy(place.alias("bin"))
+        .agg(F.min(w).alias("low"), F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
         .orderBy("bin").collect()
     )
     good, bad = sum(b.good for b in bins), sum(b.bad for b in bins)
@@ -189,9 +166,9 @@ def calibrated_size(model: Resampler, scores: DataFrame, held: DataFrame) -> int
         for b in bins:
             gain = below_bad - below_good
             if gain > best:
-                cut, best = b.bin / 10, gain
+                cut, best = b.low, gain
             below_good, below_bad = below_good + b.good, below_bad + b.bad
-    return weighed.filter(F.col("log_weight") >= F.lit(cut)).count()
+    return scores.filter(w >= F.lit(cut)).count()
 
 
 def kth_largest(scores: DataFrame, k: int) -> float:
@@ -231,8 +208,7 @@ def resample(
         column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text")
     )
     model, scores, held = fit(docs, labels, target_documents)
-    k = calibrated_size(model, scores, held) if k is None else k
-    scores = scores.select("doc_id", model.log_weight().alias("log_weight"), model.draw().alias("draw"))
+    k = calibrated_size(scores, held) if k is None else k
     model.cut = kth_largest(scores, k)
     return model, scores.filter(F.col("draw") >= F.lit(model.cut))
 
@@ -246,7 +222,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
         column(docs, "doc_id", "long").alias("doc_id"), column(docs, "text", "string").alias("text"),
         F.struct(*(docs[c] for c in docs.columns)).alias("row"),
     )
-    kept = model.scored(packed, ["row"]).filter(model.draw() >= F.lit(model.cut))
+    kept = model.scored(packed, ["row"]).filter(F.col("draw") >= F.lit(model.cut))
     return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 

@@ -1,11 +1,13 @@
 """The training-data operators against brute force, on small tables with awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -501,6 +503,37 @@ def test_resampling_draws_k_and_awkward_rows(spark):
     assert importance.resample(frame, labels.limit(0))[1].count() == 12
 
 
+def test_resampling_equals_brute_force(spark):
+    """Log weights as sums of log ratios of smoothed frequencies, gram by gram; the k largest draws."""
+    draw = np.random.default_rng(4)
+    pool = [*"a bb Cc dd, 7 eé (f) GG ..".split(), "h-i"]
+    rows = [(i, " ".join(draw.choice(pool, draw.integers(0, 30))), "s") for i in range(60)] + [(60, None, "s"), (7, "a bb", "s")]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(61)], "doc_id long, quality int, toxic int")
+    model, scores, held = importance.fit(docs(spark, rows), labels)
+    target = {i for i in range(61) if i % 3 > 0} - {r.doc_id for r in held.collect()}
+    grams = [[b.tolist() for b in importance._grams(pa.array([text or ""]))[0]] for _, text, _ in rows]
+    want = [0.0] * len(rows)
+    for family in (0, 1):
+        raw, good = Counter(), Counter()
+        for (doc_id, _, _), both in zip(rows, grams):
+            raw.update(both[family])
+            good.update(both[family] if doc_id in target else [])
+        share = sum(good.values()) / sum(raw.values())
+        for i, both in enumerate(grams):
+            want[i] += sum(math.log((good[g] + 1) / (raw[g] * share + 1)) for g in both[family])
+    found = scores.collect()
+    assert sorted(r.doc_id for r in found) == sorted(r[0] for r in rows)
+    expected = sorted((doc_id, w) for (doc_id, _, _), both, w in zip(rows, grams, want) if both[0])
+    weighed = sorted((r.doc_id, r.log_weight) for r in found if r.log_weight is not None)
+    assert [i for i, _ in weighed] == [i for i, _ in expected]
+    assert np.allclose([w for _, w in weighed], [w for _, w in expected], atol=1e-4)
+    draws = sorted((r.draw for r in found if r.draw is not None), reverse=True)
+    noise = np.array([r.draw - r.log_weight for r in found if r.draw is not None])
+    assert abs(noise.mean() - 0.577) < 0.6 and 0.7 < noise.std() < 2
+    kept = importance.resample(docs(spark, rows), labels, k=20)[1].collect()
+    assert sorted((r.draw for r in kept), reverse=True) == draws[:20]
+
+
 def test_kth_largest_equals_sorting(spark):
     draw = np.random.default_rng(9).gumbel(size=500).round(2).tolist()
     frame = spark.createDataFrame([(d,) for d in draw] + [(None,)], "draw double")
