@@ -29,6 +29,9 @@ TRAIN_DOCUMENTS, FEATURES = 30_000, 4096
 MIN_TEXTS, CLEAR = 5, 5.0
 #: Length of the vectors of terms; rounds, step and shrinkage of their fit.
 FACTORS, ROUNDS, STEP, SHRINK = 4, 200, 0.05, 1e-3
+#: Parts that the learnt texts' terms are fitted in, however many files the tables have: every round of the
+#: fit is a job over them (of one stage up to 5 parts), and TRAIN_DOCUMENTS bounds what they hold.
+PARTS = 4
 #: A score from which a text is called toxic.
 CUT = 0.7
 _GAP = wordhash.byte_set(b for b in range(128) if not chr(b).isalnum())
@@ -184,7 +187,8 @@ def fit(
 
     vector = F.udf(lambda held: Vectors.sparse(size, held, [1.0] * len(held)), VectorUDT())
     examples = save(
-        texts.mapInArrow(sets, "label double, terms array<long>").select("label", vector("terms").alias("features")),
+        texts.mapInArrow(sets, "label double, terms array<long>").repartition(PARTS, "terms")
+        .select("label", vector("terms").alias("features")),
         "examples",
     )
     machine = FMClassifier(
