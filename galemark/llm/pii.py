@@ -3,8 +3,9 @@
 Base patterns with check rules (Luhn digits, number ranges, digit counts) always count.  Besides, loose
 generators propose overlapping spans; boosted trees score each proposal by its format and its context,
 and a threshold per generator, calibrated on held-out proposals, selects further ones.  The trees learn
-from a bounded sample of the corpus's own spans: those that pass a base rule, whichever generator proposes
-them, against those that do not and touch none that does.  The loose generators also propose what base
+from one half of all of the corpus's own spans, the other half calibrates: those that pass a base rule, whichever
+generator proposes them, against those that do not and touch none that does.  Spans of equal features are one
+row with their number as weight.  The loose generators also propose what base
 patterns match, so their share of base spans at a score is known.  No feature is a check rule itself, so a
 card number with a wrong digit still looks like one; addresses are compared as written with @ and dots.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from galemark.llm.common import column, save, table, text_key
 from galemark.llm.spans import spans, written
@@ -36,8 +37,8 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "spoken", "number")
 #: Characters of context on either side.
 CONTEXT = 24
-#: Proposals that the trees learn from and that calibrate them, of smallest hash; rounds and depth.
-SAMPLE, ROUNDS, DEPTH = 4000, 8, 3
+#: Rounds and depth of the trees.
+ROUNDS, DEPTH = 8, 3
 #: Precision that the calibrated threshold must have on held-out proposals.
 PRECISION = 0.95
 #: Least share of the training spans in a leaf, so that a few loose cases do not get a leaf of their own.
@@ -117,13 +118,14 @@ def _features() -> dict[str, Column]:
     }
 
 
-def find(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def find(docs: DataFrame, sample: int | None = None, precision: float = PRECISION, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone, n_more, base_sha256, spans.
 
     Counts and hash are those of base spans.  `spans` adds proposals that the trees select, as
     like_<generator>; one inside a base span is part of that, one inside a longer one is part of
-    that one, one of several generators counts for the first.  Without both kinds of proposals in the sample nothing is added, nor where base spans are
-    less than `precision` of the held-out proposals that score as high.  A null text is empty; a text without spans has the hash of the empty
+    that one, one of several generators counts for the first.  Without both kinds of proposals to learn from nothing is added, nor where base spans are
+    less than `precision` of the held-out proposals that score as high.  All proposals are learnt from or held out; a caller
+    may bound them to the `sample` of smallest hash.  A null text is empty; a text without spans has the hash of the empty
     string.  Repeated rows give a row each.  An empty table gives no rows.
     """
     text = column(docs, text_column, "string")
@@ -155,40 +157,46 @@ def find(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, id
     ).drop("_")
 
 
-def _selected(found: DataFrame, sample: int, precision: float) -> DataFrame:
+def _selected(found: DataFrame, sample: int | None, precision: float) -> DataFrame:
     """Proposals with `more`: selected by the trees, beside the base spans."""
     names = [c for c in found.columns if c.startswith("f_")]
-    place = F.xxhash64("doc_id", "key", "start", "end")
     # One row per span, right if any generator's rule holds for it.
     each = found.filter("kind <> 'row'").groupBy("doc_id", "key", "start", "end").agg(
         F.max(F.col("base").cast("double")).alias("label"), F.sort_array(F.collect_set("kind")).alias("kinds"),
         *(F.first(c).alias(c) for c in names),
+    ).withColumn("place", F.xxhash64("doc_id", "key", "start", "end"))
+    # What overlaps a base span could not be added, so it says nothing: of the base spans that begin before it
+    # ends, one ends after it begins.  Base spans stand at their start, others at their end and before those.
+    right = F.col("label") == 1
+    along = Window.partitionBy("doc_id", "key").orderBy(F.when(right, F.col("start")).otherwise(F.col("end")), "label")
+    reach = F.max(F.when(right, F.col("end"))).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    each = each.withColumn("free", right | F.coalesce(reach <= F.col("start"), F.lit(True)))
+    if sample is not None:
+        each = each.orderBy("place", "doc_id").limit(sample)
+    vectors = each.filter("free").groupBy(F.expr("place % 2 = 0").alias("learnt"), "label", "kinds", *names).agg(
+        F.count("*").cast("double").alias("n")
     )
-    drawn = save(each.withColumn("place", place).orderBy("place", "doc_id").limit(sample), "drawn")
-    # What overlaps a base span could not be added, so it says nothing.
-    base = found.filter("base").select(*(F.col(c).alias(f"b_{c}") for c in ("doc_id", "key", "start", "end")))
-    overlap = (
-        F.col("doc_id").eqNullSafe(F.col("b_doc_id")) & (F.col("key") == F.col("b_key"))
-        & (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")) & (F.col("label") == 0)
-    )
-    drawn = save(drawn.join(base, overlap, "left_anti").repartition(1).sortWithinPartitions("place", "doc_id", "start"), "sample")
-    train, held = drawn.filter("place % 2 = 0"), drawn.filter("place % 2 <> 0")
-    labels = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
+    vectors = save(vectors.sortWithinPartitions("label", "kinds", *names), "vectors")
+    train, held = vectors.filter("learnt"), vectors.filter("NOT learnt")
+    labels = {r.label: r.n for r in train.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if len(labels) < 2:
         return found.withColumn("more", F.lit(False))
     assembler = VectorAssembler(inputCols=names, outputCol="features")
-    leaf = max(1, int(LEAF * sum(labels.values())))
-    trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, minInstancesPerNode=leaf, seed=1).fit(assembler.transform(train))
+    spans_learnt = sum(labels.values())
+    leaf = max(1, int(LEAF * spans_learnt)) - 0.5  # a whole number of spans, whatever is rounded
+    trees = GBTClassifier(
+        maxIter=ROUNDS, maxDepth=DEPTH, minWeightFractionPerNode=leaf / spans_learnt, weightCol="n", seed=1,
+    ).fit(assembler.transform(train))
 
     def score(rows: DataFrame) -> DataFrame:
         scored = trees.transform(assembler.transform(rows))
         return scored.withColumn("p", vector_to_array("probability")[1])
 
     # Per generator, blocks (right, all, lowest score) from the highest score down, merged until the share of
-    # right ones falls from block to block; the last block with enough of them has the cut.  At most `sample` spans.
+    # right ones falls from block to block; the last block with enough of them has the cut.
     bins = score(held).withColumn("kind", F.explode("kinds")).groupBy("kind", F.round("p", 3).alias("p"))
-    blocks: dict[str, list[tuple[float, int, float]]] = {}
-    for r in bins.agg(F.sum("label").alias("right"), F.count("*").alias("n")).orderBy(F.desc("p")).collect():
+    blocks: dict[str, list[tuple[float, float, float]]] = {}
+    for r in bins.agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).orderBy(F.desc("p")).collect():
         of_kind = blocks.setdefault(r.kind, [])
         of_kind.append((r.right, r.n, r.p))
         while len(of_kind) > 1 and of_kind[-1][0] * of_kind[-2][1] >= of_kind[-2][0] * of_kind[-1][1]:

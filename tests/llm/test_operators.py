@@ -265,6 +265,26 @@ def test_pii_selects_planted_loose_cases(spark):
     assert not any(got[i].n_more for i in range(400))  # numbers without a rule that look like nothing
 
 
+def test_pii_learns_from_every_span(spark, monkeypatch):
+    # 60 addresses, a card and 6 numbers in each; a number that holds the card says nothing, nor do repeated rows.
+    rows = [
+        (i, " ".join(f"n{i}x{j}@h{j % 7}.org" for j in range(60)) + f" id {i + 10**8};" * 6 + " 4111111111111111/5", "s")
+        for i in range(100)
+    ]
+    seen = []
+
+    class Spy(pii.GBTClassifier):
+        def fit(self, data):
+            weight = self.getOrDefault("weightCol") if self.isDefined("weightCol") else None
+            seen.extend(data.groupBy("label").agg(F.sum(weight) if weight else F.count("*")).collect())
+            return super().fit(data)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Spy)
+    pii.find(docs(spark, rows + rows[:30])).collect()
+    learnt = dict(map(tuple, seen))
+    assert abs(learnt[1.0] - 6100 / 2) < 200 and abs(learnt[0.0] - 600 / 2) < 60
+
+
 def vectors(n, dims=16, seed=5):
     draw = np.random.default_rng(seed)
     x = draw.normal(size=(n, dims)).astype(np.float32)
