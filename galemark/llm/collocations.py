@@ -4,9 +4,9 @@ Prefix polynomials give the 64-bit fingerprint of every n-gram of a slice of tex
 Fingerprints are counted first, without texts: words, then pairs of frequent words, then longer
 n-grams all of whose pairs are frequent, each behind a bitmap of fixed size.  A fingerprint's count is
 at least that of each phrase that has it, so no frequent phrase is lost.  The last scan takes the
-occurrences whose fingerprint is frequent, compares their words within the slice, and only there
-writes phrases out, with count and a pointer to an occurrence; counting those by text undoes all
-collisions.
+occurrences whose fingerprint is frequent, as are those of their parts, compares their words within the
+slice, and only there makes phrases, with count and a pointer to an occurrence; counting those by text undoes
+all collisions.  A task of that scan adds its phrases up before it writes them, and there is a task per core.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ LONGEST, MIN_COUNT, TOP = 5, 100, 2000
 ABSORBED = 100
 #: Bytes of text that are worked on at once.
 SLICE = 4 << 20
+#: Bytes of phrases that a task of the last scan holds to add them up.
+HELD = 32 << 20
 _PIECE = wordhash.byte_set([*b".,;:!?", *range(0x0A, 0x0E)])
 _GAP = _PIECE | wordhash.byte_set([0x20, 0x09])
 
@@ -94,7 +96,10 @@ def _counted(docs: DataFrame, sizes: range, frequent: np.ndarray | None, min_cou
 
 
 def _phrases(part: pa.RecordBatch, longest: int, frequent: np.ndarray):
-    """(lang, phrase, n, doc_id) of the n-grams with a frequent fingerprint, and (lang, null, words)."""
+    """(lang, phrase, n, doc_id) of the n-grams with a frequent fingerprint, and (lang, null, words).
+
+    The two parts that lack the last or the first word occur no less often, so theirs are frequent too.
+    """
     found = Words(part)
     # A null id is the pointer only where there is no other.
     nobody = np.iinfo(np.int64).max
@@ -121,9 +126,14 @@ def _phrases(part: pa.RecordBatch, longest: int, frequent: np.ndarray):
     )
     for size in range(1, longest + 1):
         prints, at = found.grams(size, None)
-        at = at[in_bitmap(frequent, prints.view(np.int64))]
+        known = in_bitmap(frequent, prints.view(np.int64))
+        if size > 1:
+            known &= begins[at] & begins[at + 1]
+        at = at[known]
         if not len(at):
-            continue
+            break
+        begins = np.zeros(len(word), bool)
+        begins[at] = True
         same = found.lang[at].astype(np.int64)
         for i in range(size):
             _, same = np.unique(same * len(vocabulary) + word[at + i], return_inverse=True)
@@ -144,6 +154,34 @@ def _phrases(part: pa.RecordBatch, longest: int, frequent: np.ndarray):
         )
 
 
+def _added(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Rows of `_phrases` with one row per language and phrase."""
+    if not parts:
+        return []
+    sums = pa.Table.from_batches(parts).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum"), ("doc_id", "min")])
+    sums = sums.select(["lang", "phrase", "n_sum", "doc_id_min"]).rename_columns(["lang", "phrase", "n", "doc_id"])
+    parts.clear()
+    pa.default_memory_pool().release_unused()
+    return sums.to_batches(max_chunksize=1 << 16)
+
+
+def _written(batches, longest: int, frequent: np.ndarray):
+    """`_phrases` of all batches, added up as far as HELD allows; what cannot be added up goes as it is."""
+    parts, size = [], 0
+    for batch in batches:
+        for part in wordhash.slices(batch, "text", SLICE // 4):
+            for rows in _phrases(part, longest, frequent):
+                parts.append(rows)
+                size += rows.nbytes
+            if size > HELD:
+                parts = _added(parts)
+                size = sum(rows.nbytes for rows in parts)
+                if size > HELD // 4 * 3:
+                    yield from parts
+                    parts, size = [], 0
+    yield from _added(parts)
+
+
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> DataFrame:
     """(lang, phrase, n, doc_id): every phrase of 1 to `longest` words that occurs min_count times.
 
@@ -164,11 +202,11 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
     frequent = spark.sparkContext.broadcast(bitmap(prints, "print"))
 
     def write(batches):
-        for batch in batches:
-            for part in wordhash.slices(batch, "text", SLICE):
-                yield from _phrases(part, longest, frequent.value)
+        yield from _written(batches, longest, frequent.value)
 
-    written = docs.mapInArrow(write, "lang string, phrase string, n long, doc_id long")
+    # Each task writes a phrase at least once, so files and row groups do not make tasks of their own here.
+    cores = spark.sparkContext.defaultParallelism
+    written = docs.coalesce(cores).mapInArrow(write, "lang string, phrase string, n long, doc_id long")
     counts = written.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"))
     return save(counts.filter(F.col("phrase").isNull() | (F.col("n") >= min_count)), "phrases")
 

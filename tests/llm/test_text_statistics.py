@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from galemark.llm import collocations, divergence, toxicity
+from galemark.llm import collocations, divergence, toxicity, wordhash
 from tests.compare import check, connect
 from tests.llm.test_operators import FOLDER
 
@@ -161,6 +161,40 @@ def test_colliding_fingerprints_are_told_apart_by_text(spark, monkeypatch):
     assert want and all(counts[lang, phrase] == a for lang, _, phrase, a, *_ in want)
 
 
+def test_a_task_writes_each_phrase_once(monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE", 400)
+    rows = random_rows(6, 200) + [(None, "en", "s", "only here, only here")]
+    batches = [pa.RecordBatch.from_pylist([
+        {"doc_id": i, "lang": "und" if lang is None else lang, "text": text} for i, lang, _, text in part
+    ]) for part in (rows[:90], rows[90:])]
+    bits = np.full(1 << 23, 255, np.uint8)
+    slices = [r for b in batches for s in wordhash.slices(b, "text", 400) for p in collocations._phrases(s, 5, bits) for r in p.to_pylist()]
+    want, where = Counter(), {}
+    for r in slices:
+        at = r["lang"], r["phrase"]
+        want[at] += r["n"]
+        where[at] = min((d for d in (where.get(at), r["doc_id"]) if d is not None), default=None)
+    got = [r for b in collocations._written(iter(batches), 5, bits) for r in b.to_pylist()]
+    assert len(got) == len(want) < len(slices) / 2
+    assert all(want[r["lang"], r["phrase"]] == r["n"] and where[r["lang"], r["phrase"]] == r["doc_id"] for r in got)
+    # With less room the rows come in several parts, and their sums stay.
+    monkeypatch.setattr(collocations, "HELD", 2000)
+    sums = Counter()
+    for b in collocations._written(iter(batches), 5, bits):
+        for r in b.to_pylist():
+            sums[r["lang"], r["phrase"]] += r["n"]
+    assert sums == want
+
+
+def test_phrases_with_a_rare_part_are_not_written():
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "lang": "en", "text": "a b c a b c a b"}])
+    bits = np.full(1 << 23, 255, np.uint8)
+    rare = int(collocations.Words(batch).grams(2, None)[0][1]) & ((1 << 26) - 1)  # "b c"
+    bits[rare >> 3] ^= np.uint8(1 << (rare & 7))
+    got = {r["phrase"] for p in collocations._phrases(batch, 5, bits) for r in p.to_pylist()}
+    assert got == {None, "a", "b", "c", "a b", "c a", "c a b"}
+
+
 def planted(n=1500, seed=7):
     """Toxic only where an insult meets a group; either alone is harmless, so are other words."""
     draw = np.random.default_rng(seed)
