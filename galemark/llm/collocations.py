@@ -19,14 +19,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from galemark.llm import wordhash
-from galemark.llm.common import bitmap, column, in_bitmap, save, ship, table
+from galemark.llm.common import bitmap, column, in_bitmap, save, ship, small_batches, table
 
 #: Words of the longest phrase, occurrences of a frequent one, rows of the report per language.
 LONGEST, MIN_COUNT, TOP = 5, 100, 2000
 #: A phrase in a longer one goes if the longer has this share of its occurrences, in percent.
 ABSORBED = 100
-#: Bytes of text that are worked on at once.
-SLICE = 4 << 20
+#: Bytes of text that are worked on at once, and that Spark sends to a Python worker at once.
+SLICE, SENT = 1 << 20, 4 << 20
+#: Fingerprints that a task holds to count them, and rows that it sends to Spark at once.
+PRINTS, ROWS = 1 << 20, 1 << 16
 #: Bytes of phrases that a task of the last scan holds to add them up.
 HELD = 32 << 20
 _PIECE = wordhash.byte_set([*b".,;:!?", *range(0x0A, 0x0E)])
@@ -79,20 +81,48 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _prints(batches, sizes: range, frequent: np.ndarray | None, most: int, held: int):
+    """(print, n) of the n-grams of all batches, counted over `held` of them, `most` bytes of text at a time."""
+    prints, n = [], 0
+    for batch in batches:
+        for part in wordhash.slices(batch, "text", most):
+            found = Words(part)
+            for size in sizes:
+                prints.append(found.grams(size, frequent)[0])
+                n += len(prints[-1])
+            # Nothing of a part but its fingerprints is kept while the next is read.
+            del part, found
+            if n >= held:
+                yield from _count(prints)
+                n = 0
+        del batch
+    yield from _count(prints)
+
+
+def _count(prints: list[np.ndarray]):
+    """(print, n) of the fingerprints in a list, which is emptied."""
+    if not prints:
+        return
+    every = np.concatenate(prints)
+    prints.clear()
+    every, n = np.unique(every, return_counts=True)
+    for at in range(0, len(every), ROWS):
+        some = slice(at, at + ROWS)
+        yield pa.RecordBatch.from_arrays([pa.array(every[some].view(np.int64)), pa.array(n[some])], ["print", "n"])
+
+
 def _counted(docs: DataFrame, sizes: range, frequent: np.ndarray | None, min_count: int) -> DataFrame:
     """Fingerprints of n-grams of some sizes that occur at least min_count times, with their counts."""
-    parts = docs.sparkSession.sparkContext.broadcast(frequent)
+    spark = docs.sparkSession
+    parts = spark.sparkContext.broadcast(frequent)
+    most, held = SLICE, PRINTS
 
     def count(batches):
-        for batch in batches:
-            for part in wordhash.slices(batch, "text", SLICE):
-                found = Words(part)
-                for size in sizes:
-                    prints, n = np.unique(found.grams(size, parts.value)[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(n)], ["print", "n"])
+        yield from _prints(batches, sizes, parts.value, most, held)
 
     counts = docs.mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
-    return save(counts.filter(F.col("n") >= min_count).select("print"), "fingerprints")
+    with small_batches(spark, SENT):
+        return save(counts.filter(F.col("n") >= min_count).select("print"), "fingerprints")
 
 
 def _phrases(part: pa.RecordBatch, longest: int, frequent: np.ndarray):
@@ -162,14 +192,14 @@ def _added(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
     sums = sums.select(["lang", "phrase", "n_sum", "doc_id_min"]).rename_columns(["lang", "phrase", "n", "doc_id"])
     parts.clear()
     pa.default_memory_pool().release_unused()
-    return sums.to_batches(max_chunksize=1 << 16)
+    return sums.to_batches(max_chunksize=ROWS)
 
 
 def _written(batches, longest: int, frequent: np.ndarray):
     """`_phrases` of all batches, added up as far as HELD allows; what cannot be added up goes as it is."""
     parts, size = [], 0
     for batch in batches:
-        for part in wordhash.slices(batch, "text", SLICE // 4):
+        for part in wordhash.slices(batch, "text", SLICE):
             for rows in _phrases(part, longest, frequent):
                 parts.append(rows)
                 size += rows.nbytes
@@ -208,7 +238,8 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
     cores = spark.sparkContext.defaultParallelism
     written = docs.coalesce(cores).mapInArrow(write, "lang string, phrase string, n long, doc_id long")
     counts = written.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    return save(counts.filter(F.col("phrase").isNull() | (F.col("n") >= min_count)), "phrases")
+    with small_batches(spark, SENT):
+        return save(counts.filter(F.col("phrase").isNull() | (F.col("n") >= min_count)), "phrases")
 
 
 def _whole(value: Column, digits: int) -> Column:
