@@ -1,21 +1,19 @@
 """Source divergence audit by chunk factorization.
 
 Texts are cut at white space into chunks, and each task counts the chunks of its documents.  A chunk
-that is common stands in very many documents, but is tokenized once: the globally distinct chunks are
-taken apart into terms, and the terms are joined back to the counts, next to which they are sorted.  What is
-shuffled is a row per distinct chunk and slice of text, never a row per word.
+that is common stands in very many documents, but is tokenized once: the distinct chunks of a slice of
+text are taken apart into terms, and what is known of a chunk goes to its terms.  What is shuffled is
+a row per distinct term and slice of text, never a row per word, and rows of one term are added up as they
+come in order: only terms that enough documents hold are written, next to their counts.
 
 How many documents hold a term cannot be added up from its chunks, as one document may hold several
-of them.  But only whether there are enough matters, and chunks have bounds: all documents of a chunk
-that stands in one or two are known by their smallest and largest number.  Terms that the bounds leave
-open are settled by counting those documents.
+of them.  But only whether there are enough matters: all documents of a chunk that stands in one or
+two are known by their smallest and largest number, and a chunk of three settles its terms.  A document
+is in one slice, so slices do add up.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -33,15 +31,21 @@ MIN_DOCUMENTS, UNIT, RANKS = 3, 1_000_000_000, 200
 #: Bytes of text whose chunks are counted together, and the terms and sources of one block of pairs.
 SLICE, TERM_BLOCK, SOURCE_BLOCK = 20 << 20, 8192, 256
 _WORD = (~wordhash.byte_set([0x20, *range(0x09, 0x0E)])).astype(np.int8)
+#: TERM by bytes: every byte of a character beyond ASCII is one from 0x80.
+_LETTER = wordhash.byte_set([*UPPER.encode(), *LOWER.encode(), *range(0x80, 0x100)]).astype(np.int8)
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[list(UPPER.encode())] = list(LOWER.encode())
 
 
-def _chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """The white-space chunks of a string column, told apart by their bytes, and the row of each."""
+def _runs(texts: pa.Array, members: np.ndarray, lower: bool = False) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The runs of member bytes in a string column, told apart by their bytes, and the row of each."""
     data, offsets = wordhash.bytes_of(texts)
     inside = np.zeros(len(data) + 2, np.int8)
-    np.take(_WORD, data, out=inside[1:-1])
+    np.take(members, data, out=inside[1:-1])
     body = data[inside[1:-1].view(bool)]
-    # A chunk begins where a byte of one follows a gap or a row's end, and ends likewise.
+    if lower:
+        body = _LOWERED[body]
+    # A run begins where a byte of one follows a gap or a row's end, and ends likewise.
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     before, here = inside[:-1].view(bool), inside[1:].view(bool)
@@ -50,8 +54,8 @@ def _chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     row = np.searchsorted(offsets, starts, "right") - 1
     at = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=at[1:])
-    chunks = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(body))
-    return chunks.dictionary_encode(), row
+    runs = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(body))
+    return runs.dictionary_encode(), row
 
 
 def count_chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -65,7 +69,7 @@ def count_chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
     # Documents of one language and source next to each other.
     order = np.lexsort((source.indices.to_numpy(), lang.indices.to_numpy()))
     number, lang_of, source_of = number[order], lang.indices.to_numpy()[order], source.indices.to_numpy()[order]
-    chunks, row = _chunks(batch.column("text").take(pa.array(order)))
+    chunks, row = _runs(batch.column("text").take(pa.array(order)), _WORD)
     rows = max(len(number), 1)
     held, n = np.unique(chunks.indices.to_numpy().astype(np.int64) * rows + row, return_counts=True)
     chunk, row = held // rows, held % rows
@@ -89,10 +93,61 @@ def count_chunks(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """(lang, chunk, source, n, docs, low, high): per source n occurrences, and a row without a source
-    that has the documents of the language, with their least and greatest number."""
-    kind = "lang string, chunk string, docs long, low long, high long, sources array<string>, counts array<long>"
+def _by_source(group: np.ndarray, source: pa.DictionaryArray, n: np.ndarray, groups: int) -> tuple[pa.Array, pa.Array]:
+    """Of entries in any order, for each group 0 .. groups - 1 the lists of its sources and of their sums of n."""
+    names = max(len(source.dictionary), 1)
+    key = group * names + source.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    lists = pa.array(np.searchsorted(key[at], np.arange(groups + 1) * names), pa.int32())
+    sums = np.add.reduceat(n, at) if len(at) else n
+    found = source.dictionary.take(pa.array(key[at] % names))
+    return pa.ListArray.from_arrays(lists, found), pa.ListArray.from_arrays(lists, sums)
+
+
+def _spread(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges first .. first + size - 1: the range of each place, and the places, one range after another."""
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) + (first - (np.cumsum(size) - size))[of]
+
+
+def terms_of_chunks(counted: pa.RecordBatch) -> pa.RecordBatch:
+    """(lang, term, docs, sources, counts) of the rows of `count_chunks`; each distinct chunk is taken apart once.
+
+    docs counts the documents that hold a term, exactly up to two of them; of more it is a bound from 3 up.
+    """
+    lang, chunk = (pc.dictionary_encode(counted.column(c)) for c in ("lang", "chunk"))
+    terms, of = _runs(chunk.dictionary, _LETTER, lower=True)
+    per_chunk = np.searchsorted(of, np.arange(len(chunk.dictionary) + 1))
+    code = chunk.indices.to_numpy()
+    row, place = _spread(per_chunk[code], np.diff(per_chunk)[code])
+    distinct = max(len(terms.dictionary), 1)
+    key = lang.indices.to_numpy()[row] * np.int64(distinct) + terms.indices.to_numpy()[place]
+    held, group = np.unique(key, return_inverse=True)
+    docs = counted.column("docs").to_numpy()
+    most = np.zeros(len(held), np.int64)
+    np.maximum.at(most, group, docs[row])
+    # All documents of terms whose chunks stand in one or two of them.
+    few = most[group] < 3
+    numbers, ends = np.unique(
+        np.concatenate([counted.column(c).to_numpy()[row[few]] for c in ("low", "high")]), return_inverse=True
+    )
+    known = np.unique(np.tile(group[few], 2) * np.int64(max(len(numbers), 1)) + ends) // max(len(numbers), 1)
+    docs = np.maximum(most, np.bincount(known, minlength=len(held)))
+    lists = counted.column("sources")
+    entry, at = _spread(lists.offsets.to_numpy()[row].astype(np.int64), lists.value_lengths().to_numpy()[row])
+    sources = pc.dictionary_encode(lists.values).take(pa.array(at))
+    found = _by_source(group[entry], sources, counted.column("counts").values.to_numpy()[at], len(held))
+    return pa.RecordBatch.from_arrays(
+        [lang.dictionary.take(pa.array(held // distinct)), terms.dictionary.take(pa.array(held % distinct)).cast(pa.string()),
+         pa.array(docs), *found],
+        ["lang", "term", "docs", "sources", "counts"],
+    )
+
+
+def _terms_of_slices(docs: DataFrame) -> DataFrame:
+    """(lang, term, docs, sources, counts): a row per slice of text, language and term."""
 
     def joined(parts):
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
@@ -102,91 +157,73 @@ def _counted(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in wordhash.slices(batch, "text", SLICE):
                 if waiting and size + part.nbytes > SLICE:
-                    yield count_chunks(joined(waiting))
+                    yield terms_of_chunks(count_chunks(joined(waiting)))
                     waiting, size = [], 0
                 waiting.append(part)
                 size += part.nbytes
         if waiting:
-            yield count_chunks(joined(waiting))
-
-    counted = docs.withColumn("number", F.monotonically_increasing_id()).mapInArrow(count, kind)
-    no = F.lit(None).cast("long")
-    whole = F.struct(F.lit(None).cast("string").alias("source"), no.alias("n"), "docs", "low", "high")
-    each = F.transform(
-        F.arrays_zip("sources", "counts"),
-        lambda x: F.struct(
-            x["sources"].alias("source"), x["counts"].alias("n"), no.alias("docs"), no.alias("low"), no.alias("high")
-        ),
-    )
-    # Partitioned by chunk alone: what follows per chunk needs no further shuffle.  A chunk that is
-    # everywhere is one row per slice of text and language.
-    return (
-        counted.repartition("chunk").select("lang", "chunk", F.explode(F.concat(F.array(whole), each)).alias("x"))
-        .select("lang", "chunk", "x.*").groupBy("chunk", "lang", "source")
-        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high"))
-    )
+            yield terms_of_chunks(count_chunks(joined(waiting)))
 
+    kind = "lang string, term string, docs long, sources array<string>, counts array<long>"
+    return docs.withColumn("number", F.monotonically_increasing_id()).mapInArrow(count, kind)
 
-def _terms_of_chunks(counted: DataFrame) -> DataFrame:
-    """The rows of `_counted` with the terms of their chunk: (lang, term, source, n, docs, low, high)."""
-    find, lower = re.compile(TERM).findall, str.maketrans(UPPER, LOWER)
 
-    def split(batches):
-        last, found = None, {}
-        for batch in batches:
-            # Rows are sorted by chunk: each is taken apart once, also where batches meet.
-            runs = pc.run_end_encode(batch.column("chunk"))
-            chunks = runs.values.to_pylist()
-            times = np.diff(runs.run_ends.to_numpy(), prepend=0)
-            terms, counts, held = [], [], []
-            for chunk in chunks:
-                if chunk != last:
-                    last, found = chunk, Counter(find(chunk.translate(lower)))
-                terms += found
-                counts += found.values()
-                held.append(len(found))
-            # Row i of the batch has the terms first[i] .. first[i] + size[i] - 1.
-            size = np.repeat(held, times).astype(np.int64)
-            first = np.repeat(np.cumsum(held) - held, times).astype(np.int64)
-            row = np.repeat(np.arange(batch.num_rows), size)
-            which = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
-            rest = batch.take(pa.array(row))
-            n = pc.multiply(rest.column("n"), pa.array(np.array(counts, np.int64)[which]))
-            yield pa.RecordBatch.from_arrays(
-                [rest.column("lang"), pa.array(terms, pa.string()).take(pa.array(which)), rest.column("source"), n,
-                 *(rest.column(c) for c in ("docs", "low", "high"))],
-                ["lang", "term", "source", "n", "docs", "low", "high"],
-            )
-
-    kind = "lang string, term string, source string, n long, docs long, low long, high long"
-    return counted.sortWithinPartitions("chunk").mapInArrow(split, kind)
-
-
-def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
-    """Of docs (lang, source, text): (lang, source, term, count), and the kept terms (lang, term, lang_count).
+def merge_terms(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows (lang, term, docs, sources, counts), of which those of one term follow each other, as one row per term."""
+    new = np.ones(rows.num_rows, bool)
+    for name in ("lang", "term"):
+        codes = pc.dictionary_encode(rows.column(name)).indices.to_numpy()
+        new[1:] = codes[1:] != codes[:-1] if name == "lang" else new[1:] | (codes[1:] != codes[:-1])
+    at = np.flatnonzero(new)
+    group = (np.cumsum(new) - 1)[pc.list_parent_indices(rows.column("sources")).to_numpy()]
+    sources = pc.dictionary_encode(rows.column("sources").flatten())
+    found = _by_source(group, sources, rows.column("counts").flatten().to_numpy(), len(at))
+    docs = np.add.reduceat(rows.column("docs").to_numpy(), at) if len(at) else rows.column("docs")
+    first = pa.array(at)
+    return pa.RecordBatch.from_arrays(
+        [rows.column("lang").take(first), rows.column("term").take(first), pa.array(docs), *found], rows.schema.names
+    )
+
+
+def term_counts(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """Of docs (lang, source, text): (lang, source, term, count, lang_count, first) of the kept terms.
 
     A term is kept in a language if at least min_documents (3 at most) rows of it hold the term.
+    lang_count is the sum of count over the sources; first is 1 in one row of each lang and term, else 0.
     """
     if min_documents > 3:
         raise ValueError("the documents of a chunk are known one by one up to two of them")
     ship(docs.sparkSession)
-    held = save(_terms_of_chunks(_counted(docs)), "terms-of-chunks")
-    counts = save(
-        held.filter("source IS NOT NULL").groupBy("lang", "source", "term").agg(F.sum("n").alias("count")), "term-counts"
-    )
-    documents = held.filter("source IS NULL").select("lang", "term", "docs", "low", "high")
-    bounds = documents.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
-    sure = bounds.filter(F.col("least") >= min_documents)
-    # Open ones stand in chunks of one or two documents only.
-    unsure = bounds.filter((F.col("least") < min_documents) & (F.col("most") >= min_documents)).select("lang", "term")
-    settled = (
-        documents.join(unsure, ["lang", "term"], "left_semi")
-        .select("lang", "term", F.explode(F.array("low", "high")).alias("number")).distinct()
-        .groupBy("lang", "term").agg(F.count("*").alias("documents")).filter(F.col("documents") >= min_documents)
-    )
-    kept = sure.select("lang", "term").union(settled.select("lang", "term"))
-    totals = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
-    return counts, save(totals.join(kept, ["lang", "term"]), "kept-terms")
+
+    def kept(merged):
+        merged = merged.filter(pc.greater_equal(merged.column("docs"), min_documents))
+        of = pc.list_parent_indices(merged.column("counts"))
+        first = np.diff(of.to_numpy(), prepend=-1) > 0
+        n = merged.column("counts").flatten()
+        total = np.add.reduceat(n.to_numpy(), np.flatnonzero(first)) if len(n) else n.to_numpy()
+        return pa.RecordBatch.from_arrays(
+            [merged.column("lang").take(of), merged.column("sources").flatten(), merged.column("term").take(of), n,
+             pa.array(total).take(of), pa.array(first.astype(np.int64))],
+            ["lang", "source", "term", "count", "lang_count", "first"],
+        )
+
+    def add_up(batches):
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is not None:
+                batch = pa.Table.from_batches([last, batch.cast(last.schema)]).combine_chunks().to_batches()[0]
+            merged = merge_terms(batch)
+            last = merged.slice(merged.num_rows - 1)  # its term may go on in the next batch
+            yield kept(merged.slice(0, merged.num_rows - 1))
+        if last is not None:
+            yield kept(last)
+
+    # A term that is everywhere is one row per slice of text and language.
+    in_order = _terms_of_slices(docs).repartition("term").sortWithinPartitions("term", "lang")
+    kind = "lang string, source string, term string, count long, lang_count long, first long"
+    return save(in_order.mapInArrow(add_up, kind), "kept-counts")
 
 
 def _share(count: Column, total: Column, terms: Column, unit: int) -> Column:
@@ -272,9 +309,8 @@ def divergence(
     docs = docs.select(
         *(F.coalesce(column(docs, c, "string"), F.lit("")).alias(c) for c in ("lang", "source", "text"))
     )
-    counts, kept = term_counts(docs, min_documents)
-    counts = save(counts.join(kept, ["lang", "term"]), "kept-counts")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_count").alias("lang_total"))
+    counts = term_counts(docs, min_documents)
+    langs = counts.groupBy("lang").agg(F.sum("first").alias("terms"), F.sum("count").alias("lang_total"))
     totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     there = docs.select("lang", "source").distinct()
     sources = there.groupBy("lang").agg(F.count("*").alias("sources"))

@@ -99,6 +99,34 @@ def test_chunks_are_counted_alike_in_any_slices(spark):
         divergence.term_counts(frame(spark, []), 4)
 
 
+@pytest.mark.parametrize("rows", [AWKWARD, random_rows(3, 120)])
+def test_divergence_of_small_slices_and_batches(spark, monkeypatch, rows):
+    # Rows of one term come from many slices and go on in the next batch.
+    monkeypatch.setattr(divergence, "SLICE", 40)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "2")
+    try:
+        got = [tuple(r) for r in divergence.divergence(frame(spark, rows), ranks=4).collect()]
+    finally:
+        spark.conf.unset(name)
+    want = brute_divergence(rows, ranks=4)
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_a_slice_hands_on_a_row_per_term_not_per_chunk(spark):
+    rows = [(i, "en", "ab"[i % 2], f"Salt; (salt) x{i % 2}salt, salt-n{i} 42") for i in range(4)]
+    found = divergence._terms_of_slices(frame(spark, rows).coalesce(1)).collect()
+    got = {r.term: (r.docs, dict(zip(r.sources, r.counts))) for r in found}
+    assert len(found) == len(got) and {t: s for t, (_, s) in got.items()} == {
+        "salt": {"a": 8, "b": 8}, "x": {"a": 2, "b": 2}, "n": {"a": 2, "b": 2},
+    }
+    assert got["salt"][0] >= 3 and got["x"][0] >= 3 and got["n"][0] >= 3  # n: one document in each of four chunks
+    two = divergence._terms_of_slices(frame(spark, rows[:2]).coalesce(1)).collect()
+    assert {r.term: r.docs for r in two} == {"salt": 2, "x": 2, "n": 2}
+    one = divergence._terms_of_slices(frame(spark, [(1, "en", "a", "n-1 n-2 n-3 n n")]).coalesce(1)).collect()
+    assert [(r.term, r.docs, r.counts) for r in one] == [("n", 1, [5])]
+
+
 def brute_collocations(rows, longest, min_count, top, absorbed):
     counts, totals, where = defaultdict(Counter), Counter(), {}
     for doc, lang, _, text in rows:
