@@ -7,7 +7,8 @@
    but for a chance below 1e-7 (sets of at most k shingles are their own sketch: no chance at all).
    So two such sketches must meet among the k / 2 + 1 values of each that fewest classes hold
    (whole small sets: among the last 20 %, and some more where a partner may have been cut to k
-   values), and only those are posted to inverted lists.
+   values), and only those are posted to inverted lists.  Of these, a value that no other class of a
+   fitting size holds is not posted either: nothing that it could meet can be linked.
 3. A list compares its members with a few of them, its hubs, first.  A pair goes on if sizes allow
    the similarity and the union sketch estimates at least half; those sets are read again, whole,
    and compared exactly.  What is linked then needs no more comparison within its component.
@@ -19,6 +20,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,6 +36,8 @@ K = 64
 HUBS = 4
 #: Members of a block of the second pass.
 BLOCK = 1024
+#: Bands of set sizes, a bit of a long each; the last one has all larger sizes.
+BANDS = 62
 
 
 def near_duplicates(
@@ -59,9 +64,11 @@ def near_duplicates(
         "classes",
     )
     posts = save(_posts(classes, percent, k), "posts")
-    near = _hub_links(posts, classes, docs, words, lower, percent, k, hubs)
+    lists = save(_lists(posts, hubs), "lists")
+    listed = save(posts.join(lists, "value"), "listed")
+    near = _hub_links(listed, classes, docs, words, lower, percent, k)
     found = save(components(near), "components")
-    rest = _block_links(posts, found, classes, docs, words, lower, percent, k, hubs)
+    rest = _block_links(listed, found, classes, docs, words, lower, percent, k)
     found = save(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)), "components")
     return _answer(rows, classes, found)
 
@@ -112,10 +119,17 @@ def _exploded(classes: DataFrame) -> DataFrame:
 
 
 def _posts(classes: DataFrame, percent: int, k: int) -> DataFrame:
-    """(value, id, n): the inverted lists, of values that more than one class holds."""
-    values = _exploded(classes)
-    held = values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
-    kept = values.join(held, "value")
+    """(value, id, n): the inverted lists, of values that more than one class of a fitting size holds."""
+    # Sizes that allow the similarity are in one band or in two next to each other.
+    width = max(math.log(100 / percent), 0.05) * 1.0001
+    band = F.least(F.floor(F.log("n") / width), F.lit(BANDS - 1)).cast("int")
+    values = _exploded(classes).withColumn("band", F.call_function("shiftleft", F.lit(1).cast("long"), band))
+    held = values.groupBy("value").agg(F.count("*").alias("held"), F.bit_or("band").alias("bands")).filter("held > 1")
+    near = F.col("band").bitwiseOR(F.shiftleft("band", 1)).bitwiseOR(F.shiftright("band", 1))
+    # Every holder has a band of its own, and none is next to this one's.
+    alone = (F.bit_count("bands") == F.col("held")) & (F.col("bands").bitwiseAND(near) == F.col("band"))
+    # Dealt by class before they are listed: the few values of a class in a task make no list worth a partial one.
+    kept = values.join(held, "value").select("id", "n", "held", "value", alone.alias("alone")).repartition("id", "n")
     # The rarest values come first: those that no other class holds, which the join has dropped,
     # then by the number of holders.
     size = F.least(F.col("n"), F.lit(k))
@@ -125,33 +139,31 @@ def _posts(classes: DataFrame, percent: int, k: int) -> DataFrame:
     need = F.when(F.col("n") <= k, F.col("n") - shared + 1).otherwise(F.lit(k // 2 + 1))
     ranked = (
         kept.groupBy("id", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("v"))
+        .agg(F.sort_array(F.collect_list(F.struct("held", "value", "alone"))).alias("v"))
         .select("id", "n", F.slice("v", 1, F.greatest(need - (size - F.size("v")), F.lit(0)).cast("int")).alias("v"))
     )
-    return ranked.select("id", "n", F.explode("v").alias("v")).select("v.value", "id", "n")
+    return ranked.select("id", "n", F.explode("v").alias("v")).filter("NOT v.alone").select("v.value", "id", "n")
 
 
-def _hub_links(posts, classes, docs, words, lower, percent, k, hubs) -> DataFrame:
+def _hub_links(listed, classes, docs, words, lower, percent, k) -> DataFrame:
     """(a, b), a < b: links between the hubs of a list and its members."""
-    sizes = 100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n")
+    sizes = 100 * F.least("l.n", "n") >= percent * F.greatest("l.n", "n")
     pairs = (
-        _hubs(posts, hubs).alias("l")
-        .join(posts.alias("r"), (F.col("l.value") == F.col("r.value")) & (F.col("l.id") != F.col("r.id")) & sizes)
-        .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
+        listed.select("id", "n", F.explode("met").alias("l"))
+        .filter((F.col("l.id") != F.col("id")) & sizes)
+        .select(F.least("l.id", "id").alias("a"), F.greatest("l.id", "id").alias("b"))
         .distinct()
     )
     likely = save(_likely(pairs, classes, k), "likely")
     return save(_exact(likely, docs, words, lower, percent), "near")
 
 
-def _block_links(posts, found, classes, docs, words, lower, percent, k, hubs) -> DataFrame:
+def _block_links(listed, found, classes, docs, words, lower, percent, k) -> DataFrame:
     """(a, b): a forest of the links between different components of the first pass."""
     # Hubs have met all members of their lists, so only the other members are left to compare.
-    lists = _hubs(posts, hubs).groupBy("value").agg(
-        F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"].alias("hub"),
-        F.collect_list(F.struct("id", "n")).alias("met"),
+    others = listed.filter(~F.array_contains("met", F.struct("id", "n"))).select(
+        "value", F.col("met")[0]["id"].alias("hub"), "id", "n"
     )
-    others = posts.join(lists, "value").filter(~F.array_contains("met", F.struct("id", "n"))).select("value", "hub", "id", "n")
     member = save(
         others.join(found.withColumnRenamed("node", "id"), "id", "left")
         .select("value", "hub", "id", "n", F.coalesce("component", "id").alias("c")),
@@ -265,16 +277,19 @@ def _forest(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> list[tuple[int, int]
     return out
 
 
-def _hubs(posts: DataFrame, hubs: int) -> DataFrame:
-    """Of each list, up to `hubs` members: the one of smallest hash in each of `hubs` parts of it.
+def _lists(posts: DataFrame, hubs: int) -> DataFrame:
+    """(value, met) of each list of several members: up to `hubs` of them (id, n), by rising hash.
 
-    The same members win in all lists that they share, so pairs repeat instead of adding up.  A part
-    is a partial minimum, however long the list is.
+    They are the members of smallest hash in each of `hubs` parts of the list.  The same members win in
+    all lists that they share, so pairs repeat instead of adding up.  A part is a partial minimum,
+    however long the list is.
     """
     order = F.struct(F.xxhash64("id").alias("h"), "id", "n")
     part = F.pmod(F.shiftright(F.xxhash64("id"), 7), F.lit(hubs))
-    best = posts.groupBy("value", part.alias("p")).agg(F.min(order).alias("m"))
-    return best.select("value", "m.id", "m.n")
+    best = [F.min(F.when(part == i, order)).alias(f"m{i}") for i in range(hubs)]
+    several = posts.groupBy("value").agg(F.count("*").alias("members"), *best).filter("members > 1")
+    met = F.sort_array(F.array_compact(F.array(*(f"m{i}" for i in range(hubs)))))
+    return several.select("value", F.transform(met, lambda m: F.struct(m["id"].alias("id"), m["n"].alias("n"))).alias("met"))
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:

@@ -95,6 +95,35 @@ def test_near_duplicates_meet_across_the_sketch_size(spark):
     assert got == {i + j: (s, i) for i, pair in zip(range(0, len(rows), 2), sizes * 3) for j, s in enumerate(pair)}
 
 
+def test_near_duplicates_of_all_sizes_meet(spark):
+    # Texts and their longest extensions that are still linked: sizes at the edge of what is allowed.
+    rows, want = [], {}
+    for g, n in enumerate([*range(4, 60), *range(100, 2000, 61)]):
+        words = [f"g{g}w{x}" for x in range(n * 5 // 4 + 1)]
+        rows += [(2 * g, " ".join(words[: n + 1]), "s"), (2 * g + 1, " ".join(words), "s")]
+        want |= {2 * g: (n, 2 * g), 2 * g + 1: (n * 5 // 4, 2 * g)}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs(spark, rows), words=2).collect()}
+    assert got == want
+
+
+def test_values_without_a_holder_of_fitting_size_are_not_posted(spark):
+    def posts(*sizes):
+        sets = [np.sort(np.r_[np.uint64(0), np.arange(1, n, dtype=np.uint64) + np.uint64(1000 * i)]) for i, n in enumerate(sizes)]
+        rows = [(i, len(v), bytearray(v.tobytes())) for i, v in enumerate(sets)]
+        classes = spark.createDataFrame(rows, "id long, n long, sketch binary")
+        return {(r.value, r.id, r.n) for r in near_dup._posts(classes, 80, 64).collect()}
+
+    # One value in common, and it is the last of all to be posted: sets of one value post it.
+    assert posts(1, 1) == {(0, 0, 1), (0, 1, 1)}
+    assert posts(1, 2) == set() and posts(1, 60) == set()
+
+
+def test_lists_of_one_member_are_left_out(spark):
+    posts = spark.createDataFrame([(1, 10, 5), (2, 10, 5), (2, 11, 6), *((3, i, 7) for i in range(20, 40))], "value long, id long, n long")
+    lists = {r.value: {m.id for m in r.met} for r in near_dup._lists(posts, 2).collect()}
+    assert lists.keys() == {2, 3} and lists[2] <= {10, 11} and len(lists[3]) == 2
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(docs(spark, [])).count() == 0
     assert near_dup.drop_near_duplicates(docs(spark, AWKWARD)).columns == docs(spark, []).columns
